@@ -1,0 +1,12 @@
+"""Broadcasts behind a check of the size."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+BROADCAST_ROWS = 100_000
+
+
+def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """Whether a frame has at most ``max_rows`` rows; reads no more than one row beyond that."""
+    return df.limit(max_rows + 1).count() <= max_rows
