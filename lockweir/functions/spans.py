@@ -100,11 +100,15 @@ def _empty() -> Column:
     return F.array().cast(SPAN_ARRAY)
 
 
+_BLOCK = 128
+
+
 def pattern_spans(text: Column, pattern: str, entity_type: str, valid=None, hint=None) -> Column:
     """All non-overlapping matches of a pattern as spans, those failing ``valid`` left out.
 
     Spark returns the matches and the text between them but no positions: match ``i`` starts
     after gaps ``0..i`` and matches ``0..i-1``, so one fold over both lists gives the offsets.
+    Spans are gathered in blocks, which keeps the fold linear for texts with very many matches.
     A text without a match costs the hint, or at most one search.
     """
     pairs = F.zip_with(
@@ -116,19 +120,32 @@ def pattern_spans(text: Column, pattern: str, entity_type: str, valid=None, hint
     def step(acc: Column, pair: Column) -> Column:
         begin = acc["at"] + F.length(pair["gap"])
         stop = begin + F.length(pair["match"])
-        span = F.struct(
-            F.lit(entity_type).alias("type"),
-            pair["match"].alias("text"),
-            begin.alias("start"),
-            stop.alias("end"),
-            F.lit(1.0).alias("confidence"),
+        span = F.array(
+            F.struct(
+                F.lit(entity_type).alias("type"),
+                pair["match"].alias("text"),
+                begin.alias("start"),
+                stop.alias("end"),
+                F.lit(1.0).alias("confidence"),
+            )
         )
+        full = F.size(acc["block"]) >= _BLOCK
         return F.when(pair["match"].isNull(), acc).otherwise(
-            F.struct(stop.alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
+            F.struct(
+                stop.alias("at"),
+                F.when(full, span).otherwise(F.concat(acc["block"], span)).alias("block"),
+                F.when(full, F.concat(acc["done"], F.array(acc["block"]))).otherwise(acc["done"]).alias("done"),
+            )
         )
 
-    zero = F.struct(F.lit(0).alias("at"), _empty().alias("out"))
-    spans = F.aggregate(pairs, zero, step, lambda acc: acc["out"])
+    zero = F.struct(
+        F.lit(0).alias("at"),
+        _empty().alias("block"),
+        F.array().cast(f"array<{SPAN_ARRAY}>").alias("done"),
+    )
+    spans = F.aggregate(
+        pairs, zero, step, lambda acc: F.flatten(F.concat(acc["done"], F.array(acc["block"])))
+    )
     if valid is not None:
         spans = F.filter(spans, lambda s: valid(s["text"]))
     matched = text.rlike(pattern) if hint is None else hint(text) & text.rlike(pattern)

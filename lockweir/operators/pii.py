@@ -142,6 +142,10 @@ def detect_detailed(df: DataFrame, ner: DataFrame, key: str, text: str = "text")
     )
 
 
+def count_type(entities: Column | str, entity_type: str) -> Column:
+    return F.size(F.filter(entities, lambda e: e["type"] == entity_type))
+
+
 def detect_summary(df: DataFrame, key: str, entities: str = "entities") -> DataFrame:
     """Per row: whether anything was found, how many, and how many of each pattern type."""
     e = F.col(entities)
@@ -150,7 +154,7 @@ def detect_summary(df: DataFrame, key: str, entities: str = "entities") -> DataF
         (F.size(e) > 0).alias("pii_detected"),
         F.size(e).alias("entity_count"),
         *[
-            F.size(F.filter(e, lambda s, t=t: s["type"] == t)).alias(f"n_{t.lower()}")
+            count_type(e, t).alias(f"n_{t.lower()}")
             for t in config.REGEX_TYPES
         ],
     )

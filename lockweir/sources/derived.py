@@ -15,6 +15,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def requests(spark: SparkSession, sf_dir: str, cost: bool = True) -> DataFrame:
     """The event table read as a request log."""
+    df = as_requests(table(spark, sf_dir, "events"))
+    return with_cost(df, prices_df(spark)) if cost else df
+
+
+def as_requests(events: DataFrame) -> DataFrame:
     e = F.col("event_id")
     model = (
         F.when(e % 9 == 0, "gemini-1.5-pro").when(e % 9 == 3, "gemini-1.5-flash")
@@ -27,7 +32,7 @@ def requests(spark: SparkSession, sf_dir: str, cost: bool = True) -> DataFrame:
         .when(F.col("event_type") == "signup", "blocked")
         .otherwise("completed")
     )
-    df = table(spark, sf_dir, "events").select(
+    return events.select(
         e.alias("id"),
         "user_id",
         F.col("ts").cast("timestamp").alias("request_timestamp"),
@@ -40,16 +45,18 @@ def requests(spark: SparkSession, sf_dir: str, cost: bool = True) -> DataFrame:
         (e % 7 == 0).alias("pii_detected"),
         status.alias("status"),
     ).withColumn("total_tokens", F.col("prompt_tokens") + F.col("completion_tokens"))
-    return with_cost(df, prices_df(spark)) if cost else df
 
 
 def pii_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return probe_texts(table(spark, sf_dir, "orders"))
+
+
+def probe_texts(orders: DataFrame) -> DataFrame:
     """One text per order that holds a national id, an IBAN and an amount."""
     digits = lambda *powers: sum(((F.col("b") / F.lit(10**p)).cast("long") % 10 for p in powers), F.lit(0))
     k = F.col("o_orderkey")
     base = (
-        table(spark, sf_dir, "orders")
-        .select(k, "o_totalprice", (100000000 + (k * 7919) % 900000000).alias("b"))
+        orders.select(k, "o_totalprice", (100000000 + (k * 7919) % 900000000).alias("b"))
         .withColumn("od", digits(8, 6, 4, 2, 0))
         .withColumn("ev", digits(7, 5, 3, 1))
         .withColumn("d10", (7 * F.col("od") - F.col("ev") + 70) % 10)
@@ -69,13 +76,6 @@ def pii_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents and probes in one frame ``(doc_id, text)``; probe ids are negative."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    probes = pii_probe(spark, sf_dir).select((-1 - F.col("doc_id")).alias("doc_id"), "text")
-    return docs.unionByName(probes)
-
-
 def budgets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One budget per user that ever sent a request; users divisible by 7 have none."""
     user = F.col("user_id")
