@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions.formats import fixed
+from .once import once
 from .pii import detect_fast
 
 VIOLATION = (
@@ -207,7 +208,7 @@ def verdict(
         entities = F.array().cast(SPAN_ARRAY)
     checks = [r.check(text, entities, tokens, cost).cast(VIOLATION) for r in rules if r.enabled] if enabled else []
     found = F.filter(F.array(*checks), lambda v: v.isNotNull()) if checks else F.array().cast(f"array<{VIOLATION}>")
-    out = df.withColumn(f"{prefix}violations", found)
+    out = once(df, **{f"{prefix}violations": found})
     v = F.col(f"{prefix}violations")
     blocks = F.exists(v, lambda x: x["severity"] == "error") if block_on_violation else F.lit(False)
     return out.withColumn(f"{prefix}passed", F.size(v) == 0).withColumn(f"{prefix}should_block", blocks)
@@ -222,7 +223,7 @@ def two_pass(
     cost: Column | None = None,
 ) -> DataFrame:
     """Check the prompt, and the completion only where it holds personal data; either may block."""
-    found = df.withColumn("in_entities", detect_fast(prompt)).withColumn("out_entities", detect_fast(completion))
+    found = once(df, in_entities=detect_fast(prompt), out_entities=detect_fast(completion))
     checked = verdict(
         found, rules, F.col(prompt), F.col("in_entities"), tokens, cost, prefix="in_", side="input"
     )
@@ -254,7 +255,8 @@ def turn_pairs(conversations: DataFrame) -> DataFrame:
 
 def violations_to_log(df: DataFrame, keys: list[str], violations: str = "violations") -> DataFrame:
     """One row per violation, ready to append; ``details`` is JSON with the message first."""
-    return df.select(*keys, F.posexplode(violations).alias("position", "v")).select(
+    rows = df.select(*keys, F.posexplode_outer(violations).alias("position", "v"))
+    return rows.filter(F.col("v").isNotNull()).select(
         *keys,
         "position",
         F.col("v.rule_name").alias("rule_name"),

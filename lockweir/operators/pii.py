@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .. import config
 from ..functions.spans import DETECTORS, SPAN_ARRAY, Detector, pattern_spans
 from ..sources.dims import config_dim
+from .once import once
 
 
 def detect_fast(
@@ -28,12 +29,12 @@ def detect_fast(
 def with_entities(
     df: DataFrame, text: str = "text", name: str = "entities", types: Iterable[str] | None = None
 ) -> DataFrame:
-    return df.withColumn(name, detect_fast(F.col(text), types))
+    return once(df, **{name: detect_fast(F.col(text), types)})
 
 
 def explode_entities(df: DataFrame, key: str, entities: str = "entities") -> DataFrame:
     """One row per span."""
-    return df.select(key, F.explode(entities).alias("e")).select(
+    return df.select(key, F.explode_outer(entities).alias("e")).filter(F.col("e").isNotNull()).select(
         key,
         F.col("e.type").alias("type"),
         F.col("e.text").alias("entity"),
@@ -166,7 +167,7 @@ _WORD = r"(?U)[\w'-]+"
 def tokens_with_offsets(df: DataFrame, key: str, text: str = "text") -> DataFrame:
     """One row per word with its offsets."""
     words = pattern_spans(F.col(text), _WORD, "WORD")
-    return df.select(key, F.explode(words).alias("w")).select(
+    return df.select(key, F.explode_outer(words).alias("w")).filter(F.col("w").isNotNull()).select(
         key,
         F.col("w.text").alias("entity"),
         F.col("w.start").alias("span_start"),

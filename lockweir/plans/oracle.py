@@ -574,8 +574,8 @@ _query("h1", ["all_events"], 'SELECT event, event_id, user_id, "timestamp", prov
 _view("bodies", ["events_out"], """
 SELECT *, '{"event":"' || event || '","timestamp":' || sec || ',"data":{"request_id":"' || event_id || '","user_id":"' || user_id || '"'
  || coalesce(',"provider":"' || provider || '"', '') || coalesce(',"model":"' || model || '"', '') || coalesce(',"tokens":' || tokens, '')
- || coalesce(',"cost":' || CAST(CAST(cost AS DECIMAL(18,6)) AS VARCHAR), '') || coalesce(',"error":"' || error || '"', '') || ',"timestamp":' || sec || '}}' AS payload
-FROM (SELECT *, CAST(epoch_us("timestamp") // 1000000 AS VARCHAR) || '.' || lpad(CAST(epoch_us("timestamp") % 1000000 AS VARCHAR), 6, '0') AS sec FROM events_out) t""")
+ || coalesce(',"cost":' || micro // 1000000 || '.' || lpad(CAST(micro % 1000000 AS VARCHAR), 6, '0'), '') || coalesce(',"error":"' || error || '"', '') || ',"timestamp":' || sec || '}}' AS payload
+FROM (SELECT *, (CAST(round(cost * 1e10::DOUBLE) AS BIGINT) + 5000) // 10000 AS micro, CAST(epoch_us("timestamp") // 1000000 AS VARCHAR) || '.' || lpad(CAST(epoch_us("timestamp") % 1000000 AS VARCHAR), 6, '0') AS sec FROM events_out) t""")
 _query("h2", ["bodies"], "SELECT event_id, event, payload FROM bodies")
 _query("h5", ["hook_events", "hooks"], """
 SELECT h.webhook_id, e.event, CAST(e.id AS VARCHAR) AS event_id, CAST(a AS INT) AS attempt, e.request_timestamp + to_microseconds(CAST((pow(2, a) - 1) * 1000000 AS BIGINT)) AS due_at
