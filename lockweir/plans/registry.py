@@ -15,7 +15,7 @@ from ..operators import (
     analytics, attribution, budgets, cache, costs, guardrails, limits, masking, metrics, pii,
     projections, routing, webhooks,
 )
-from ..session import shared_dir
+from ..session import cut, shared_dir
 from ..sources import derived, dims, request_log
 from ..streaming import limiter, live, queue
 from . import replay as replay_plan
@@ -54,12 +54,12 @@ def at(text: str):
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Give heavy per-row work to all cores where a table has fewer splits than the session cores.
+    """Give heavy per-row work to all cores where a table has fewer files than the session cores.
 
-    Large tables have more splits than cores and are left as they are.
+    Large tables have more files than cores and are left as they are.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
 
 
 def documents(spark, sf_dir):
@@ -254,13 +254,18 @@ def masked(spark, d):
     return masking.mask(found(spark, d), "doc_id")
 
 
+def stored_masks(spark, d):
+    """Masked texts and what is needed to undo them, stored as a gateway would."""
+    return cut(masked(spark, d).select("doc_id", "text", "session_id", "masked_text", "spans"))
+
+
 def mapping(df):
     return masking.mask_mapping(df, at("2024-01-01 00:00:00"))
 
 
 @query("j6")
 def _(spark, d):
-    m = masked(spark, d)
+    m = stored_masks(spark, d)
     return masking.unmask(m.select("doc_id", "session_id", "masked_text"), mapping(m), at("2024-01-01 00:30:00")).select("doc_id", "text")
 
 
@@ -587,7 +592,7 @@ def _(spark, d):
 
 @query("m3")
 def _(spark, d):
-    m = masked(spark, d)
+    m = stored_masks(spark, d)
     kept, way_back = m.select("doc_id", "session_id", "masked_text"), mapping(m)
     live_now = masking.unmask(kept, way_back, at("2024-01-01 00:59:59"), name="restored")
     return masking.unmask(live_now, way_back, at("2024-01-01 01:00:00"), name="after_expiry").select(
@@ -909,7 +914,7 @@ def _(spark, d):
 
 @query("x6")
 def _(spark, d):
-    m = masked(spark, d)
+    m = stored_masks(spark, d)
     n = F.ceil(F.length("masked_text") / 7).cast("int")
     named = m.filter(F.col("session_id") != "")
     chunks = named.select("session_id", "masked_text", F.explode(F.sequence(F.lit(0), n - 1)).alias("chunk_no")).select(
