@@ -11,8 +11,26 @@ def _col(c: Column | str) -> Column:
 
 
 def fixed(x: Column, digits: int) -> Column:
-    """Decimal text rounded half-even on the exact binary value, without group marks."""
-    return F.translate(F.format_number(x, digits), ",", "")
+    """Decimal text of a non-negative double, rounded on its exact binary value, ties to even.
+
+    Decimal rounding is right unless the decimal form ends in a 5 at the cut. Then the double is
+    scaled to a whole number by a power of two and compared with the midpoint in whole numbers.
+    """
+    ten = 10**digits
+    short = x.cast("decimal(30,12)")
+    scaled = short * F.lit(ten).cast("decimal(6,0)")
+    k = F.floor(scaled).cast("long")
+    power = F.lit(54) - F.floor(F.log2(F.nullif(x, F.lit(0.0)))).cast("int")
+    half = F.floor(power / 2).cast("int")
+    whole = (x * F.pow(F.lit(2.0), power)).cast("long").cast("decimal(20,0)")
+    two_to = lambda n: F.pow(F.lit(2.0), n).cast("long").cast("decimal(20,0)")
+    left = whole * F.lit(2 * ten).cast("decimal(6,0)")
+    right = (2 * k + 1).cast("decimal(20,0)") * two_to(half) * two_to(power - half)
+    up = (left > right) | ((left == right) & (k % 2 == 1))
+    kept = (k + up.cast("long")).cast("decimal(20,0)") / F.lit(ten).cast("decimal(6,0)")
+    tie = scaled - F.floor(scaled) == F.lit(0.5).cast("decimal(2,1)")
+    text = f"decimal(30,{digits})"
+    return F.when(tie, kept.cast(text).cast("string")).otherwise(F.round(short, digits).cast(text).cast("string"))
 
 
 def fmt_duration(ms: Column | str) -> Column:

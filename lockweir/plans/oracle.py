@@ -306,6 +306,17 @@ FROM broken a LEFT JOIN broken b ON b.doc_id = a.doc_id + 1""")
 _query("g8", ["both_sides"], """
 SELECT doc_id, in_n AS in_violations, CASE WHEN out_pii THEN out_n ELSE 0 END AS out_violations,
   in_block OR (out_pii AND out_hard) AS blocked FROM both_sides""")
+_view("turn_flags", ["turn_texts", "turn_spans"], """
+SELECT t.doc_id, t.conv_id, t.turn, t.role, count(s.type) > 0 AS pii, count(*) FILTER (s.type IN ('TCKN','CREDIT_CARD','IBAN')) > 0 AS hard,
+  CAST((count(*) FILTER (s.type IN ('TCKN','CREDIT_CARD','IBAN')) > 0)::INT + (count(*) FILTER (s.type IN ('EMAIL','PHONE')) > 0)::INT
+   + regexp_matches(any_value(t.text), '(?i)violence|hate')::INT AS INT) AS n
+FROM turn_texts t LEFT JOIN turn_spans s USING (doc_id) GROUP BY ALL""")
+_query("g8_turns", ["turn_flags"], """
+SELECT a.conv_id, a.turn, a.n AS in_violations, CAST(CASE WHEN b.pii THEN b.n ELSE 0 END AS INT) AS out_violations,
+  a.hard OR coalesce(b.pii AND b.hard, false) AS blocked
+FROM turn_flags a LEFT JOIN turn_flags b ON b.conv_id = a.conv_id AND b.turn = a.turn + 1 AND b.role = 'assistant' WHERE a.role = 'user'""")
+_query("c7", [], """
+SELECT doc_id, CAST(256 AS INT) AS dim, CASE WHEN trim(text) = '' THEN 0::DOUBLE ELSE 1::DOUBLE END AS length FROM documents""")
 _query("g9", [], """
 SELECT doc_id, CASE WHEN length(text) > 2000 THEN 'Text of ' || length(text) || ' characters' END AS message FROM documents""")
 _SCREEN = """

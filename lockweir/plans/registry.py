@@ -738,7 +738,7 @@ def _(spark, d):
 @query("c7")
 def _(spark, d):
     vec = cache.embed(documents(spark, d))
-    return vec.select("doc_id", F.size("embedding").alias("dim"), vectors.norm("embedding").alias("length"))
+    return vec.select("doc_id", F.size("embedding").alias("dim"), F.round(vectors.norm("embedding"), 5).alias("length"))
 
 
 # ------------------------------------------------------------------ routing and chat
