@@ -110,10 +110,15 @@ def page_info(df: DataFrame, page_no: int = 1, page_size: int = 20) -> DataFrame
 
 
 def envelope(df: DataFrame, page_no: int = 1, page_size: int = 20) -> DataFrame:
-    """Items of one page, each row with the envelope values. The total is a one-row scalar."""
-    info = page_info(df, page_no, page_size)
+    """Items of one page, each row with the envelope values. The total is a scalar subquery."""
     items = df.orderBy(*newest_first()).limit(page_no * page_size).offset((page_no - 1) * page_size)
-    return items.join(F.broadcast(info.withColumn("_one", F.lit(1))), F.lit(1) == F.col("_one")).drop("_one")
+    total = df.agg(F.count("*").alias("total")).scalar()
+    return items.withColumn("total", total).select(
+        "*",
+        F.lit(page_no).alias("page"),
+        F.lit(page_size).alias("page_size"),
+        F.ceil(F.col("total") / page_size).cast("long").alias("pages"),
+    )
 
 
 def split_tokens(timeline: DataFrame) -> DataFrame:
