@@ -6,15 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config
-from ..sources.dims import config_dim
 
 
 def with_cost(df: DataFrame, prices: DataFrame, name: str = "cost_usd") -> DataFrame:
     """Add the cost of each request; an unknown model costs nothing.
 
-    The price list comes from configuration, so the join never shuffles the log.
+    A price list from ``dims`` is broadcast, so the join does not shuffle the log.
     """
-    joined = df.join(config_dim(prices), ["provider", "model"], "left")
+    joined = df.join(prices, ["provider", "model"], "left")
     cost = F.col("prompt_tokens") / 1000.0 * F.coalesce("prompt_price", F.lit(0.0)) + F.col(
         "completion_tokens"
     ) / 1000.0 * F.coalesce("completion_price", F.lit(0.0))
@@ -24,7 +23,7 @@ def with_cost(df: DataFrame, prices: DataFrame, name: str = "cost_usd") -> DataF
 def word_count(text: Column | str) -> Column:
     """Words separated by whitespace; leading and trailing blanks make none."""
     text = F.col(text) if isinstance(text, str) else text
-    return F.size(F.filter(F.split(F.coalesce(text, F.lit("")), r"(?U)[\s\x1c-\x1f]+"), lambda w: w != ""))
+    return F.coalesce(F.regexp_count(text, F.lit(r"(?U)[^\s\x1c-\x1f]+")), F.lit(0))
 
 
 def estimate_cost(text: Column | str) -> Column:

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from typing import Callable, Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config
 from ..functions.spans import DETECTORS, SPAN_ARRAY, Detector, pattern_spans
-from ..sources.dims import config_dim
+from ..sources.dims import listed
 from .once import once
 
 
@@ -53,9 +53,8 @@ def guess_lang(text: Column | str, strict: bool = False) -> Column:
 
 def map_ner(spans: DataFrame, labels=config.NER_LABELS) -> DataFrame:
     """Tagger labels to entity types and confidences; other labels are dropped."""
-    spark: SparkSession = spans.sparkSession
-    dim = spark.createDataFrame(list(labels), "label string, type string, confidence double")
-    return spans.join(config_dim(dim), "label")
+    dim = listed(spans.sparkSession, list(labels), "label string, type string, confidence double")
+    return spans.join(dim, "label")
 
 
 def suppress(ner: DataFrame, regex: DataFrame, key: str) -> DataFrame:

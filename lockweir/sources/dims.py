@@ -8,9 +8,22 @@ from pyspark.sql import functions as F
 from .. import config
 
 
+BROADCAST_ROWS = 100_000
+
+
+def listed(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A dimension from a list on the driver.
+
+    Its length is known here, so this is where the broadcast hint is given; a longer list, or a
+    table passed in its place, is joined by whatever strategy its size calls for.
+    """
+    df = spark.createDataFrame(rows, schema)
+    return F.broadcast(df) if len(rows) <= BROADCAST_ROWS else df
+
+
 def prices_df(spark: SparkSession, prices=config.PRICES) -> DataFrame:
-    return spark.createDataFrame(
-        list(prices), "provider string, model string, prompt_price double, completion_price double"
+    return listed(
+        spark, list(prices), "provider string, model string, prompt_price double, completion_price double"
     )
 
 
@@ -20,15 +33,15 @@ def variants_df(spark: SparkSession, variants=config.VARIANTS) -> DataFrame:
     for position, (name, provider, model, share) in enumerate(variants):
         rows.append((position, name, provider, model, float(share), low, low + share))
         low += share
-    return spark.createDataFrame(
-        rows,
+    return listed(
+        spark, rows,
         "position int, variant string, provider string, model string, "
         "percentage double, low double, high double",
     )
 
 
 def tiers_df(spark: SparkSession, tiers=config.TIERS) -> DataFrame:
-    return spark.createDataFrame(list(tiers), "tier string, per_minute int, per_hour int")
+    return listed(spark, list(tiers), "tier string, per_minute int, per_hour int")
 
 
 def models_df(spark: SparkSession, prices=config.PRICES) -> DataFrame:
@@ -37,18 +50,4 @@ def models_df(spark: SparkSession, prices=config.PRICES) -> DataFrame:
 
 
 def default_models_df(spark: SparkSession, defaults=config.DEFAULT_MODELS) -> DataFrame:
-    return spark.createDataFrame(list(defaults.items()), "provider string, default_model string")
-
-
-def bounds_df(spark: SparkSession, bounds) -> DataFrame:
-    """Histogram upper bounds, with +Inf last."""
-    rows = [(i, float(b)) for i, b in enumerate(list(bounds) + [float("inf")])]
-    return spark.createDataFrame(rows, "position int, le double")
-
-
-def config_dim(df: DataFrame) -> DataFrame:
-    """Mark a dimension built from configuration literals as a broadcast side.
-
-    Its size is the length of a Python list on the driver, never of a table.
-    """
-    return F.broadcast(df)
+    return listed(spark, list(defaults.items()), "provider string, default_model string")
