@@ -255,7 +255,7 @@ def masked(spark, d):
 
 
 def stored_masks(spark, d):
-    """Masked texts and what is needed to undo them, stored as a gateway would."""
+    """Masked texts and what is needed to undo them, stored for later."""
     return cut(masked(spark, d).select("doc_id", "text", "session_id", "masked_text", "spans"))
 
 
