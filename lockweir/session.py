@@ -29,16 +29,22 @@ def local_session(cores: int | str = 8, name: str = "lockweir", memory: str = "1
 def shared_dir(spark: SparkSession) -> str:
     """The reliable folder all executors can reach.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only where that is unset (tests on one
-    machine) a fresh temporary folder is chosen, and kept for the session.
+    A cluster names it in ``spark.checkpoint.dir``. Where that is unset, a session on one machine
+    gets a fresh temporary folder that is kept for the session; any other master is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("lockweir.shared.dir", None)
     if not path:
+        if not _on_one_machine(spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="lockweir-")
         spark.conf.set("lockweir.shared.dir", path)
     return path.rstrip("/")
 
 
+def _on_one_machine(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage: write the rows to the shared folder and go on from there.
 
@@ -48,4 +54,5 @@ def cut(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    # Without a given schema, a folder the driver cannot see is an error instead of no rows.
+    return spark.read.parquet(path)
