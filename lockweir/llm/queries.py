@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.derived import table
-from . import topk
+from . import chat, topk
 
 
 def op2_impact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,8 +17,19 @@ def op2_impact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors.filter("id % 50 = 0"), vectors)
 
 
+def op5_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one whose texts hold control strings, as examples; digests read back from them."""
+    probe = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame(
+        [(-7, 0, "user", probe), (-7, 1, "assistant", probe)], "conv_id long, turn long, role string, text string"
+    )
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.digests(chat.expand(turns.unionByName(extra)))
+
+
 QUERIES = {
     "op2_impact_topk": op2_impact_topk,
+    "op5_prefix_targets": op5_prefix_targets,
 }
 
 ORACLES = {
@@ -37,4 +48,23 @@ ORACLES = {
           SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
     """,
+    "op5_prefix_targets": r"""
+        WITH t AS (
+          SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+          UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+          UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+        m AS (
+          SELECT *, length('<|turn|><|text|><|end|>')
+              + length(replace(replace(role, '\', '\\'), '<|', '<\|')) + length(replace(replace(text, '\', '\\'), '<|', '<\|')) AS chars,
+            row_number() OVER o AS n, count(*) OVER (PARTITION BY conv_id) AS size
+          FROM t WINDOW o AS (PARTITION BY conv_id ORDER BY turn, role, text)),
+        c AS (
+          SELECT *, sum(chars) OVER (PARTITION BY conv_id ORDER BY n) AS upto FROM m)
+        SELECT conv_id, count(*) AS n_turns,
+          sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
+          CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+          sha256(coalesce(string_agg(text, '' ORDER BY n) FILTER (role = 'assistant'), '')) AS loss_sha256,
+          CAST(sum(upto) FILTER (role = 'assistant' OR n = size) AS BIGINT) AS formatted_chars
+        FROM c GROUP BY conv_id
+    """,
 }
