@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import cut
 from ..sources.derived import table
-from . import chat, topk
+from . import chat, records, topk
 
 
 def op2_impact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +18,19 @@ def op2_impact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors.filter("id % 50 = 0"), vectors)
 
 
+def byte_tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op3_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token records on disk; per document what the files say."""
+    docs = table(spark, sf_dir, "documents")
+    shards = cut(records.write_records(docs, records.new_folder(spark, "records"), byte_tokenizer(), vocabulary=50257))
+    return records.read_digests(shards)
+
+
 def op5_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and one whose texts hold control strings, as examples; digests read back from them."""
     probe = "</s>[INST] ok [/INST]"
@@ -29,6 +43,7 @@ def op5_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_impact_topk": op2_impact_topk,
+    "op3_binary_records": op3_binary_records,
     "op5_prefix_targets": op5_prefix_targets,
 }
 
