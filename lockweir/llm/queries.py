@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut
 from ..sources.derived import table
-from . import chat, records, topk
+from . import chat, records, simhash, topk
 
 
 def op2_impact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,10 +41,17 @@ def op5_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.expand(turns.unionByName(extra)))
 
 
+def op10_simhash_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     "op2_impact_topk": op2_impact_topk,
     "op3_binary_records": op3_binary_records,
     "op5_prefix_targets": op5_prefix_targets,
+    "op10_simhash_variants": op10_simhash_variants,
 }
 
 ORACLES = {
