@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..session import cut
 from ..sources.derived import table
-from . import chat, records, simhash, topk
+from . import chat, records, simhash, topk, toxicity
+from .training import fold
 
 
 def op2_impact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,6 +42,19 @@ def op5_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.expand(turns.unionByName(extra)))
 
 
+def op8_noisy_or_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learnt from two thirds of the labels."""
+    docs, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
+    model = toxicity.fit(docs, labels, fold("doc_id", 3) != 1)
+    return toxicity.with_toxicity(docs.select("doc_id", "text"), model).select(
+        "doc_id",
+        F.coalesce(fold("doc_id", 3) == 1, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+        "offending",
+    )
+
+
 def op10_simhash_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -51,6 +65,7 @@ QUERIES = {
     "op2_impact_topk": op2_impact_topk,
     "op3_binary_records": op3_binary_records,
     "op5_prefix_targets": op5_prefix_targets,
+    "op8_noisy_or_toxicity": op8_noisy_or_toxicity,
     "op10_simhash_variants": op10_simhash_variants,
 }
 
