@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut
 from ..sources.derived import table
-from . import chat, records, simhash, topk, toxicity
+from . import chat, quality, records, simhash, topk, toxicity
 from .training import fold
 
 
@@ -42,6 +42,18 @@ def op5_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.expand(turns.unionByName(extra)))
 
 
+def op6_fourier_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learnt from four fifths of the labels."""
+    stats = cut(quality.with_statistics(table(spark, sf_dir, "documents")))
+    model = quality.fit(stats, table(spark, sf_dir, "labels"), fold("doc_id", 5) != 0)
+    return quality.score(stats, model).select(
+        "doc_id",
+        F.coalesce(fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 def op8_noisy_or_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learnt from two thirds of the labels."""
     docs, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
@@ -65,6 +77,7 @@ QUERIES = {
     "op2_impact_topk": op2_impact_topk,
     "op3_binary_records": op3_binary_records,
     "op5_prefix_targets": op5_prefix_targets,
+    "op6_fourier_quality": op6_fourier_quality,
     "op8_noisy_or_toxicity": op8_noisy_or_toxicity,
     "op10_simhash_variants": op10_simhash_variants,
 }
