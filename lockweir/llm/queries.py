@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut
 from ..sources.derived import table
-from . import chat, quality, records, simhash, topk, toxicity
+from . import chat, decontamination, quality, records, simhash, topk, toxicity
 from .training import fold
 
 
@@ -54,6 +54,11 @@ def op6_fourier_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a benchmark item, as it stands or re-parameterised."""
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
+
+
 def op8_noisy_or_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learnt from two thirds of the labels."""
     docs, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
@@ -78,6 +83,7 @@ QUERIES = {
     "op3_binary_records": op3_binary_records,
     "op5_prefix_targets": op5_prefix_targets,
     "op6_fourier_quality": op6_fourier_quality,
+    "op7_template_decontamination": op7_template_decontamination,
     "op8_noisy_or_toxicity": op8_noisy_or_toxicity,
     "op10_simhash_variants": op10_simhash_variants,
 }
