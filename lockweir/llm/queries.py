@@ -7,10 +7,21 @@ from pyspark.sql import functions as F
 
 from ..session import cut
 from ..sources.derived import table
-from . import chat, decontamination, quality, records, simhash, topk, toxicity
+from . import chat, decontamination, quality, records, simhash, surrogates, topk, toxicity
 from .training import fold
 
 
+def op1_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its personal data replaced."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogates.anonymise(docs, surrogate_key(spark))
+
+
+def surrogate_key(spark: SparkSession) -> str:
+    """The secret of the job; the tables here are public, so an unset one has a stated default."""
+    return spark.conf.get("lockweir.surrogate.key", "lockweir public test key")
+
+
 def op2_impact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five best inner products for each vector whose id is divisible by 50."""
     vectors = table(spark, sf_dir, "embeddings").select(
@@ -79,6 +90,7 @@ def op10_simhash_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_pii_surrogates": op1_pii_surrogates,
     "op2_impact_topk": op2_impact_topk,
     "op3_binary_records": op3_binary_records,
     "op5_prefix_targets": op5_prefix_targets,
