@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut
 from ..sources.derived import table
-from . import chat, decontamination, quality, records, simhash, surrogates, topk, toxicity
+from . import chat, decontamination, pieces, quality, records, simhash, surrogates, topk, toxicity
 from .training import fold
 
 
@@ -83,6 +83,21 @@ def op8_noisy_or_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def piece_model() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op9_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The piece ids of every document, and whether they decode to its text."""
+    vocabulary = pieces.Vocabulary.load(piece_model())
+    encoded = pieces.encode(table(spark, sf_dir, "documents"), vocabulary)
+    return pieces.decode(encoded, vocabulary).select(
+        "doc_id", F.size("ids").alias("n_pieces"), "ids", (F.crc32("decoded") == F.col("check")).alias("round_trip")
+    )
+
+
 def op10_simhash_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -97,6 +112,7 @@ QUERIES = {
     "op6_fourier_quality": op6_fourier_quality,
     "op7_template_decontamination": op7_template_decontamination,
     "op8_noisy_or_toxicity": op8_noisy_or_toxicity,
+    "op9_piece_lattice": op9_piece_lattice,
     "op10_simhash_variants": op10_simhash_variants,
 }
 
