@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut
 from ..sources.derived import table
-from . import chat, decontamination, pieces, quality, records, simhash, surrogates, topk, toxicity
+from . import chat, decontamination, licenses, pieces, quality, records, simhash, surrogates, topk, toxicity
 from .training import fold
 
 
@@ -43,6 +43,11 @@ def op3_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.read_digests(shards)
 
 
+def op4_patience_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every place of every document that holds a license text."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op5_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and one whose texts hold control strings, as examples; digests read back from them."""
     probe = "</s>[INST] ok [/INST]"
@@ -108,6 +113,7 @@ QUERIES = {
     "op1_pii_surrogates": op1_pii_surrogates,
     "op2_impact_topk": op2_impact_topk,
     "op3_binary_records": op3_binary_records,
+    "op4_patience_licenses": op4_patience_licenses,
     "op5_prefix_targets": op5_prefix_targets,
     "op6_fourier_quality": op6_fourier_quality,
     "op7_template_decontamination": op7_template_decontamination,
