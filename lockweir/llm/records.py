@@ -25,7 +25,9 @@ from pyspark.sql import functions as F
 from ..session import shared_dir
 from .crc32c import crc32c, masked
 
-_CACHE_WORDS = 400_000
+_CACHE_WORDS = 800_000
+_WORDS_AT_ONCE = 2_000
+_TEXT_CHARS = 2 << 20
 _FLUSH_BYTES = 8 << 20
 NO_KEY = -(2**63)
 
@@ -34,32 +36,58 @@ class WordEncoder:
     """Whole-text encoding through a bounded cache of words.
 
     The tokenizer's splitting pattern never joins characters before and after a space that follows
-    a non-space and precedes a non-space, so such a text is the concatenation of its words, each
-    with its leading space. Texts with other runs of spaces are encoded whole.
+    a non-space and precedes a non-space, so a text with no other spaces is the concatenation of its
+    words, each with its leading space; and words new to the cache can be encoded as one text, cut
+    before each id that begins with a space. Texts with other runs of spaces are encoded whole.
     """
 
     def __init__(self, path: str, width: str):
+        import os
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
-        self.encode = Tokenizer.from_file(path).encode_batch_fast
-        self.width = width
+        tokenizer = Tokenizer.from_file(path)
+        vocabulary = tokenizer.get_vocab()
+        self.spaced = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.spaced[[i for piece, i in vocabulary.items() if piece.startswith("\u0120")]] = True  # stands for a space
+        self.encode = tokenizer.encode_batch_fast
+        self.width = np.dtype(width)
         self.words: dict[str, bytes] = {}
 
     def _bytes(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype=self.width).tobytes() for e in self.encode(texts, add_special_tokens=False)]
 
-    def __call__(self, text: str) -> bytes:
-        if "  " in text or text[:1] == " " or text[-1:] == " ":
-            return self._bytes([text])[0]
-        first, *rest = text.split(" ")
-        words = self.words
-        missing = list({w for w in rest if w not in words})
-        if missing:
-            if len(words) > _CACHE_WORDS:
-                words.clear()
-                missing = list(set(rest))
-            words.update(zip(missing, self._bytes([f" {w}" for w in missing])))
-        return b"".join([*self._bytes([first]), *map(words.__getitem__, rest)])
+    def _learn(self, words: list[str]) -> None:
+        size = self.width.itemsize
+        for i in range(0, len(words), _WORDS_AT_ONCE):
+            part = words[i : i + _WORDS_AT_ONCE]
+            (whole,) = self.encode(["".join(f" {w}" for w in part)], add_special_tokens=False)
+            ids = np.array(whole.ids, dtype=self.width)
+            at = (np.flatnonzero(self.spaced[ids]) * size).tolist()
+            if len(at) == len(part):
+                data = ids.tobytes()
+                self.words.update(zip(part, [data[a:b] for a, b in zip(at, [*at[1:], len(data)])]))
+            else:
+                self.words.update(zip(part, self._bytes([f" {w}" for w in part])))
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        odd = [i for i, t in enumerate(texts) if "  " in t or t[:1] == " " or t[-1:] == " "]
+        whole = dict(zip(odd, self._bytes([texts[i] for i in odd])))
+        split = [(i, t.split(" ")) for i, t in enumerate(texts) if i not in whole]
+        heads = self._bytes([words[0] for _, words in split])
+        words, out = self.words, [b""] * len(texts)
+        for i in odd:
+            out[i] = whole[i]
+        needed = set().union(*(rest[1:] for _, rest in split))
+        missing = needed.difference(words)
+        if len(words) + len(missing) > _CACHE_WORDS:
+            words.clear()
+            missing = needed
+        self._learn(list(missing))
+        for head, (i, rest) in zip(heads, split):
+            out[i] = b"".join([head, *map(words.__getitem__, rest[1:])])
+        return out
 
 
 def _filesystem(path: str):
@@ -112,17 +140,18 @@ def write_records(
         encode, end = WordEncoder(tokenizer, width), np.array([end_id], dtype=width).tobytes()
         store, root = _filesystem(path)
         out, offset, index, n_tokens = None, 0, [], 0
-        keys, payloads, size = [], [], 0
+        keys, texts, size = [], [], 0
 
         def flush():
             nonlocal offset, n_tokens, size
+            payloads = [p + end for p in encode(texts)]
             for k, p, frame in zip(keys, payloads, _frames(keys, payloads)):
                 index.append((k, offset, len(frame), len(p) // end_size))
                 offset += len(frame)
                 n_tokens += len(p) // end_size
                 out.write(frame)
             keys.clear()
-            payloads.clear()
+            texts.clear()
             size = 0
 
         end_size = len(end)
@@ -134,9 +163,9 @@ def write_records(
                 out = store.open_output_stream(f"{root}/.{shard:06d}-{attempt}.rec")
             for k, body in zip(batch.column(0).to_pylist(), batch.column(1)):
                 keys.append(k)
-                payloads.append(encode(body.as_py()) + end)
-                size += len(payloads[-1])
-                if size > _FLUSH_BYTES:
+                texts.append(body.as_py())
+                size += len(texts[-1])
+                if size > _TEXT_CHARS:
                     flush()
         if out is None:
             return
