@@ -10,6 +10,8 @@ from typing import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .arrays import let, prefix
+
 # --- fixed values: the six patterns. (?U) makes \d, \b and \s Unicode-aware, and \s is
 # widened by the four separators that the JVM does not count as white space.
 _S = r"[\s\x1c-\x1f]"
@@ -48,7 +50,7 @@ def is_iban(s: Column | str) -> Column:
     """Mod-97 test of an account number; blanks are ignored, other separators fail."""
     s = F.col(s) if isinstance(s, str) else s
     s = F.upper(F.translate(ascii_digits(s), " ", ""))
-    turned = F.concat(F.substring(s, 5, 1_000_000), F.substring(s, 1, 4))
+    turned = F.concat(F.substring(s, F.lit(5), F.length(s)), F.substring(s, 1, 4))
     # Fold the digits of each character into the remainder; no long number is built.
     remainder = F.aggregate(
         F.split(turned, ""),
@@ -100,53 +102,33 @@ def _empty() -> Column:
     return F.array().cast(SPAN_ARRAY)
 
 
-_BLOCK = 128
-
-
 def pattern_spans(text: Column, pattern: str, entity_type: str, valid=None, hint=None) -> Column:
     """All non-overlapping matches of a pattern as spans, those failing ``valid`` left out.
 
-    Spark returns the matches and the text between them but no positions: match ``i`` starts
-    after gaps ``0..i`` and matches ``0..i-1``, so one fold over both lists gives the offsets.
-    Spans are gathered in blocks, which keeps the fold linear for texts with very many matches.
-    A text without a match costs the hint, or at most one search.
+    Spark returns the matches and the text between them but no positions: match ``i`` ends after
+    gaps and matches ``0..i``, a running sum. A text without a match costs the hint, or at most one
+    search.
     """
-    pairs = F.zip_with(
-        F.split(text, pattern, -1),
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
-        lambda gap, match: F.struct(gap.alias("gap"), match.alias("match")),
-    )
 
-    def step(acc: Column, pair: Column) -> Column:
-        begin = acc["at"] + F.length(pair["gap"])
-        stop = begin + F.length(pair["match"])
-        span = F.array(
-            F.struct(
+    def spans(matches: Column) -> Column:
+        sizes = F.zip_with(
+            F.slice(F.split(text, pattern, -1), F.lit(1), F.size(matches)),
+            matches,
+            lambda gap, match: F.length(gap) + F.length(match),
+        )
+        return F.zip_with(
+            matches,
+            prefix(sizes, lambda a, b: a + b),
+            lambda match, stop: F.struct(
                 F.lit(entity_type).alias("type"),
-                pair["match"].alias("text"),
-                begin.alias("start"),
+                match.alias("text"),
+                (stop - F.length(match)).alias("start"),
                 stop.alias("end"),
                 F.lit(1.0).alias("confidence"),
-            )
-        )
-        full = F.size(acc["block"]) >= _BLOCK
-        return F.when(pair["match"].isNull(), acc).otherwise(
-            F.struct(
-                stop.alias("at"),
-                F.when(full, span).otherwise(F.concat(acc["block"], span)).alias("block"),
-                F.when(full, F.concat(acc["done"], F.array(acc["block"]))).otherwise(acc["done"]).alias("done"),
-            )
+            ),
         )
 
-    zero = F.struct(
-        F.lit(0).alias("at"),
-        _empty().alias("block"),
-        F.array().cast(f"array<{SPAN_ARRAY}>").alias("done"),
-    )
-    spans = F.aggregate(
-        pairs, zero, step, lambda acc: F.flatten(F.concat(acc["done"], F.array(acc["block"])))
-    )
+    found = let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda m: F.when(F.size(m) > 0, spans(m)).otherwise(_empty()))
     if valid is not None:
-        spans = F.filter(spans, lambda s: valid(s["text"]))
-    matched = text.rlike(pattern) if hint is None else hint(text) & text.rlike(pattern)
-    return F.when(matched, spans).otherwise(_empty())
+        found = F.filter(found, lambda s: valid(s["text"]))
+    return F.when(F.lit(True) if hint is None else hint(text), found).otherwise(_empty())

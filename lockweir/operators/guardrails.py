@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -108,12 +106,11 @@ def of_types(entities: Column, types: list[str]) -> Column:
 
 
 def content_matches(text: Column, patterns: list[str]) -> Column:
-    """Whether any pattern is found, ignoring case. A leading or trailing ``.*`` cannot change
-    whether a search succeeds, so it is left out of the scan."""
-    if not patterns:
-        return F.lit(False)
-    cores = [re.sub(r"(?<!\\)\.\*$", "", re.sub(r"^(\.\*)+", "", p)) for p in patterns]
-    return F.coalesce(text.rlike("(?iu)" + "|".join(f"(?:{c})" for c in cores)) & (text != ""), F.lit(False))
+    """Whether any pattern is found, ignoring case; each is searched by itself, as it stands."""
+    found = F.lit(False)
+    for p in patterns:
+        found = found | text.rlike(f"(?iu){p}")
+    return F.coalesce(found & (text != ""), F.lit(False))
 
 
 def pii_at_least(entities: Column, types: list[str] | None, n: int = 1) -> Column:

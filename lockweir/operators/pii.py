@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config
+from ..functions.arrays import let, prefix
 from ..functions.spans import DETECTORS, SPAN_ARRAY, Detector, pattern_spans
 from ..sources.dims import listed
 from .once import once
@@ -90,14 +91,20 @@ def suppress_arrays(ner: Column, regex: Column) -> Column:
 
 
 def merge_spans(entities: Column | str) -> Column:
-    """Overlaps resolved: stable order by start; the last kept span yields only to a more confident one."""
+    """Overlaps resolved: stable order by start; the last kept span yields only to a more confident one.
+
+    Only spans that overlap others are folded: the sorted spans fall into clusters where a span
+    starts at or after the end of all before it.
+    """
     entities = F.col(entities) if isinstance(entities, str) else entities
-    ordered = F.array_sort(
-        F.transform(entities, lambda e, i: F.struct(e["start"].alias("s"), i.alias("i"), e.alias("e")))
+    ordered = F.transform(
+        F.array_sort(
+            F.transform(entities, lambda e, i: F.struct(e["start"].alias("s"), i.alias("i"), e.alias("e")))
+        ),
+        lambda x: x["e"],
     )
 
-    def step(kept: Column, item: Column) -> Column:
-        span = item["e"]
+    def step(kept: Column, span: Column) -> Column:
         last = F.try_element_at(kept, F.lit(-1))
         return (
             F.when(last.isNull() | (span["start"] >= last["end"]), F.concat(kept, F.array(span)))
@@ -108,8 +115,23 @@ def merge_spans(entities: Column | str) -> Column:
             .otherwise(kept)
         )
 
-    merged = F.aggregate(ordered, F.array().cast(SPAN_ARRAY), step)
-    return F.when(F.size(entities) > 1, merged).otherwise(entities)
+    def clusters(spans: Column, reach: Column) -> Column:
+        begins = F.filter(
+            F.sequence(F.lit(0), F.size(spans) - 1),
+            lambda i: (i == 0) | (F.get(spans, i)["start"] >= F.coalesce(F.get(reach, i - 1), F.lit(0))),
+        )
+        cut = lambda b: F.transform(
+            b, lambda at, k: F.slice(spans, at + 1, F.coalesce(F.get(b, k + 1), F.size(spans)) - at)
+        )
+        return let(begins, cut)
+
+    fold = lambda c: F.when(F.size(c) == 1, c).otherwise(F.aggregate(c, F.array().cast(SPAN_ARRAY), step))
+
+    def resolve(spans: Column) -> Column:
+        reach = prefix(F.transform(spans, lambda s: s["end"]), lambda a, b: F.greatest(a, b))
+        return F.flatten(F.transform(let(reach, lambda r: clusters(spans, r)), fold))
+
+    return F.when(F.size(entities) > 1, let(ordered, resolve)).otherwise(entities)
 
 
 def detect_detailed(df: DataFrame, ner: DataFrame, key: str, text: str = "text") -> DataFrame:
@@ -161,10 +183,11 @@ def detect_summary(df: DataFrame, key: str, entities: str = "entities") -> DataF
 
 
 _WORD = r"[\w'-]+"
+LISTED_WORDS = 20_000
 
 
-def tokens_with_offsets(df: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """One row per word with its offsets, found batch-wise in one pass over each text."""
+def tokens_with_offsets(df: DataFrame, key: str, text: str = "text", only: frozenset[str] | None = None) -> DataFrame:
+    """One row per word (of ``only``, if given) with its offsets, found batch-wise in one pass over each text."""
     import pyarrow as pa
 
     key_type = df.schema[key].dataType.simpleString()
@@ -177,6 +200,8 @@ def tokens_with_offsets(df: DataFrame, key: str, text: str = "text") -> DataFram
             keys, rows, words, starts, ends = batch.column(0), [], [], [], []
             for row, body in enumerate(batch.column(1).to_pylist()):
                 for m in word.finditer(body or ""):
+                    if only is not None and m.group() not in only:
+                        continue
                     rows.append(row)
                     words.append(m.group())
                     starts.append(m.start())
@@ -195,12 +220,14 @@ def tokens_with_offsets(df: DataFrame, key: str, text: str = "text") -> DataFram
 def dictionary_tagger(gazetteer: DataFrame) -> Callable[[DataFrame, str, str], DataFrame]:
     """A tagger that looks words up in a table ``(word, label)``.
 
-    The join strategy is left to the optimizer: a small list is broadcast below the session's
-    size threshold, a large one is shuffled.
+    A list of at most ``LISTED_WORDS`` words goes along to the tasks, so that other words never leave
+    them; beyond that every word is joined.
     """
 
     def run(df: DataFrame, key: str, text: str) -> DataFrame:
-        words = tokens_with_offsets(df, key, text)
+        listed = gazetteer.select(F.substring("word", 1, 200)).distinct().limit(LISTED_WORDS + 1).collect()
+        short = len(listed) <= LISTED_WORDS and all(len(r[0] or "") < 200 for r in listed)
+        words = tokens_with_offsets(df, key, text, frozenset(r[0] for r in listed) if short else None)
         return words.join(
             gazetteer.select(F.col("word").alias("entity"), "label").distinct(), "entity"
         ).select(key, "label", "entity", "span_start", "span_end")

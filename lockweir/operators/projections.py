@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from .. import config
 from ..functions.dates import preset_range
 
-MAX_USERS = 1000  # fixed value: most users one report may list
 
 
 def project_recent(df: DataFrame) -> DataFrame:

@@ -237,11 +237,18 @@ _query("m3", ["masked"], """
 SELECT t.doc_id, t.text AS restored, m.masked_text AS after_expiry FROM texts t JOIN masked m USING (doc_id)""")
 _query("j6", ["texts"], "SELECT doc_id, text FROM texts")
 _query("x6", ["texts"], "SELECT doc_id, text FROM texts")
-_view("turn_texts", [], "SELECT conv_id * 100000 + turn AS doc_id, conv_id, turn, role, text FROM conversations")
+_view("turn_texts", [], """SELECT conv_id * 100000 + turn AS doc_id, conv_id, turn, role, text
+  || CASE WHEN (conv_id + turn) % 3 = 0 THEN ' Write to u' || turn || '@example.com.' ELSE '' END
+  || CASE WHEN (conv_id + turn) % 5 = 0 THEN ' Card 4111-1111-1111-1111.' ELSE '' END AS text FROM conversations""")
 _view("turn_spans", ["turn_texts"], _spans("turn_texts"))
-_query("m4", ["turn_spans"], """
-SELECT conv_id, turn, role, '' AS session_id, text AS masked_text, CAST(0 AS INT) AS n_masked
-FROM turn_texts WHERE doc_id NOT IN (SELECT doc_id FROM turn_spans)""")
+_view("turn_ordered", ["turn_spans"], _VIEWS["ordered_spans"][1].replace("FROM spans", "FROM turn_spans"))
+_view("turn_merge", ["turn_ordered"], _MERGE.format(src="turn_ordered", merged="turn_merge"))
+_view("turn_kept", ["turn_merge"], _KEPT.format(merged="turn_merge"))
+_view("turn_tokens", ["turn_kept"], _VIEWS["tokens"][1].replace("FROM kept", "FROM turn_kept").replace(
+    "md5(CAST(doc_id AS VARCHAR))", "md5(CAST(doc_id // 100000 AS VARCHAR) || ':' || CAST(doc_id % 100000 AS VARCHAR))"))
+_view("turn_masked", ["turn_tokens", "turn_texts"], _VIEWS["masked"][1].replace("texts", "turn_texts").replace("FROM tokens", "FROM turn_tokens"))
+_query("m4", ["turn_masked"], """
+SELECT conv_id, turn, role, session_id, masked_text, n_masked FROM turn_masked JOIN turn_texts USING (doc_id)""")
 
 # ---------------------------------------------------------------- guardrails and screening
 _view("broken", ["spans"], """
@@ -283,6 +290,9 @@ _query("g3", ["broken"], """
 SELECT doc_id, 'PII detected: ' || hard AS message FROM broken WHERE hard IS NOT NULL""")
 _query("g4", [], """
 SELECT doc_id, regexp_matches(text, '(?i)violence|hate') AS matched FROM documents""")
+_query("g4_patterns", [], """
+SELECT doc_id, regexp_matches(text, '(?i)ee|ss') AS doubled, regexp_matches(text, '(?i)that') AS lazy,
+  regexp_matches(text, '(?i)whst') AS possessive FROM documents""")
 _query("g5", ["violations"], """
 SELECT t.doc_id, CAST(count(v.rule_name) AS INT) AS n_violations, count(v.rule_name) = 0 AS passed,
   count(*) FILTER (v.severity = 'error') > 0 AS should_block,
@@ -315,6 +325,12 @@ _query("g8_turns", ["turn_flags"], """
 SELECT a.conv_id, a.turn, a.n AS in_violations, CAST(CASE WHEN b.pii THEN b.n ELSE 0 END AS INT) AS out_violations,
   a.hard OR coalesce(b.pii AND b.hard, false) AS blocked
 FROM turn_flags a LEFT JOIN turn_flags b ON b.conv_id = a.conv_id AND b.turn = a.turn + 1 AND b.role = 'assistant' WHERE a.role = 'user'""")
+_view("planes", [], """
+SELECT b.band, list(CASE WHEN ascii(md5('7:' || b.band || ':' || p.bit || ':' || d.dim)) % 2 = 0 THEN 1.0 ELSE -1.0 END ORDER BY d.dim) AS plane, p.bit
+FROM range(12) b(band), range(8) p(bit), range(64) d(dim) GROUP BY b.band, p.bit""")
+_view("codes", ["planes"], """
+SELECT e.vec_id, p.band, CAST(sum(CASE WHEN list_sum(list_transform(list_zip(e.embedding, p.plane), lambda z: z[1] * z[2])) > 0
+  THEN 1 << p.bit ELSE 0 END) AS BIGINT) AS code FROM embeddings e, planes p GROUP BY e.vec_id, p.band""")
 _query("c7", [], """
 SELECT doc_id, CAST(256 AS INT) AS dim, CASE WHEN trim(text) = '' THEN 0::DOUBLE ELSE 1::DOUBLE END AS length FROM documents""")
 _query("g9", [], """
@@ -451,6 +467,10 @@ FROM entries q JOIN entries e ON e.created_at <= q.asked_at AND q.asked_at < e.c
 _view("best", ["visible"], """
 SELECT query_id, arg_max(entry_id, (similarity, created_at, entry_id)) AS entry_id, max(similarity) AS similarity FROM visible GROUP BY query_id""")
 _query("j5", ["best"], "SELECT query_id, entry_id, round(similarity, 9) AS similarity FROM best WHERE similarity > 0 AND similarity >= 0.35")
+_query("c5", ["visible", "codes"], """
+SELECT query_id, arg_max(entry_id, (similarity, created_at, entry_id)) AS entry_id, round(max(similarity), 9) AS similarity FROM visible v
+WHERE similarity > 0 AND similarity >= 0.35
+  AND EXISTS (SELECT 1 FROM codes a JOIN codes b USING (band, code) WHERE a.vec_id = v.query_id AND b.vec_id = v.entry_id) GROUP BY query_id""")
 _query("j7", ["raw_requests", "prices"], """
 SELECT id, requested_provider, requested_model, served_provider,
   CASE WHEN served_provider IS NULL THEN NULL WHEN served_provider = requested_provider THEN coalesce(requested_model, dflt)

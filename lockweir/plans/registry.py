@@ -53,23 +53,22 @@ def at(text: str):
     return F.lit(text).cast("timestamp")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Give heavy per-row work to all cores where a table has fewer files than the session cores.
-
-    Large tables have more files than cores and are left as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
+def documents(spark, sf_dir):
+    return derived.table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
-def documents(spark, sf_dir):
-    return spread(derived.table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+def turns(spark, sf_dir):
+    """All conversations; an address is added to every third turn and a valid card number to every fifth."""
+    n = F.col("conv_id") + F.col("turn")
+    mail = F.when(n % 3 == 0, F.concat(F.lit(" Write to u"), F.col("turn").cast("string"), F.lit("@example.com."))).otherwise("")
+    card = F.when(n % 5 == 0, F.lit(" Card 4111-1111-1111-1111.")).otherwise("")
+    return derived.table(spark, sf_dir, "conversations").withColumn("text", F.concat("text", mail, card))
 
 
 def texts(spark, sf_dir):
     probes = derived.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
     return documents(spark, sf_dir).unionByName(
-        derived.probe_texts(spread(probes, "o_orderkey")).select((-1 - F.col("doc_id")).alias("doc_id"), "text")
+        derived.probe_texts(probes).select((-1 - F.col("doc_id")).alias("doc_id"), "text")
     )
 
 
@@ -602,7 +601,7 @@ def _(spark, d):
 
 @query("m4")
 def _(spark, d):
-    return masking.mask_turns(spread(derived.table(spark, d, "conversations"), "conv_id"))
+    return masking.mask_turns(turns(spark, d))
 
 
 # ------------------------------------------------------------------ guardrails
@@ -632,6 +631,18 @@ def _(spark, d):
     return documents(spark, d).select("doc_id", guardrails.content_matches(F.col("text"), patterns).alias("matched"))
 
 
+@query("g4_patterns")
+def _(spark, d):
+    """Patterns that only stand by themselves: back-references, a lazy and a possessive start."""
+    t = F.col("text")
+    return documents(spark, d).select(
+        "doc_id",
+        guardrails.content_matches(t, [r"(e)\1", r"(s)\1"]).alias("doubled"),
+        guardrails.content_matches(t, [".*?that.*"]).alias("lazy"),
+        guardrails.content_matches(t, [".*+that", "whst"]).alias("possessive"),
+    )
+
+
 @query("g5")
 def _(spark, d):
     judged = guardrails.verdict(found(spark, d), None, F.col("text"), F.col("entities"))
@@ -671,7 +682,7 @@ def _(spark, d):
 
 @query("g8_turns")
 def _(spark, d):
-    pairs = guardrails.turn_pairs(derived.table(spark, d, "conversations"))
+    pairs = guardrails.turn_pairs(turns(spark, d))
     return guardrails.two_pass(pairs).select(
         "conv_id", "turn", F.size("in_violations").alias("in_violations"), F.size("out_violations").alias("out_violations"), "blocked"
     )
@@ -726,7 +737,7 @@ def _(spark, d):
 
 @query("c5")
 def _(spark, d):
-    return cache.cache_lookup_lsh(*lookup_sides(spark, d), dim=64, threshold=0.35, bands=32, bits=4)
+    return cache.cache_lookup_lsh(*lookup_sides(spark, d), dim=64, threshold=0.35, bands=12, bits=8)
 
 
 @query("c6")
@@ -921,6 +932,5 @@ def _(spark, d):
         "session_id", "chunk_no", F.substring("masked_text", F.col("chunk_no") * 7 + 1, F.lit(7)).alias("chunk")
     )
     whole = masking.unmask(masking.join_chunks(chunks), mapping(m))
-    return m.select("doc_id", "session_id", F.col("text").alias("_plain")).join(
-        whole.select("session_id", "text"), "session_id", "left"
-    ).select("doc_id", F.coalesce("text", "_plain").alias("text"))
+    rebuilt = named.select("doc_id", "session_id").join(whole.select("session_id", "text"), "session_id", "left")
+    return rebuilt.select("doc_id", "text").unionByName(m.filter(F.col("session_id") == "").select("doc_id", "text"))

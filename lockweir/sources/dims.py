@@ -8,17 +8,18 @@ from pyspark.sql import functions as F
 from .. import config
 
 
-BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 8 << 20
 
 
 def listed(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """A dimension from a list on the driver.
 
-    Its length is known here, so this is where the broadcast hint is given; a longer list, or a
+    Its size is known here, so this is where the broadcast hint is given; a larger list, or a
     table passed in its place, is joined by whatever strategy its size calls for.
     """
     df = spark.createDataFrame(rows, schema)
-    return F.broadcast(df) if len(rows) <= BROADCAST_ROWS else df
+    size = sum(len(str(value)) + 16 for row in rows for value in row)
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
 
 
 def prices_df(spark: SparkSession, prices=config.PRICES) -> DataFrame:
@@ -27,19 +28,6 @@ def prices_df(spark: SparkSession, prices=config.PRICES) -> DataFrame:
     )
 
 
-def variants_df(spark: SparkSession, variants=config.VARIANTS) -> DataFrame:
-    """Variants with their half-open share ``(low, high]`` of 0..100."""
-    rows, low = [], 0.0
-    for position, (name, provider, model, share) in enumerate(variants):
-        rows.append((position, name, provider, model, float(share), low, low + share))
-        low += share
-    return listed(
-        spark, rows,
-        "position int, variant string, provider string, model string, "
-        "percentage double, low double, high double",
-    )
-
-
 def tiers_df(spark: SparkSession, tiers=config.TIERS) -> DataFrame:
     return listed(spark, list(tiers), "tier string, per_minute int, per_hour int")
 

@@ -20,8 +20,8 @@ def test_query(spark, con, key):
     assert problem is None
 
 
-def test_every_query_but_the_approximate_one_has_an_equivalent():
-    assert set(QUERIES) - set(oracle_sql()) == {"c5"}
+def test_every_query_has_an_equivalent():
+    assert set(QUERIES) <= set(oracle_sql())
 
 
 def test_entry(spark):
