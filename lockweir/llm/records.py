@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import uuid
 import zlib
+from functools import lru_cache
 from typing import Iterator
 
 import numpy as np
@@ -90,6 +91,12 @@ class WordEncoder:
         return out
 
 
+@lru_cache(maxsize=1)
+def encoder_for(path: str, width: str) -> WordEncoder:
+    """One encoder for all tasks that a Python worker runs one after the other."""
+    return WordEncoder(path, width)
+
+
 def _filesystem(path: str):
     from pyarrow import fs
 
@@ -137,7 +144,7 @@ def write_records(
 
         task = TaskContext.get()
         shard, attempt = task.partitionId(), f"{task.taskAttemptId()}-{uuid.uuid4().hex[:8]}"
-        encode, end = WordEncoder(tokenizer, width), np.array([end_id], dtype=width).tobytes()
+        encode, end = encoder_for(tokenizer, width), np.array([end_id], dtype=width).tobytes()
         store, root = _filesystem(path)
         out, offset, index, n_tokens = None, 0, [], 0
         keys, texts, size = [], [], 0
