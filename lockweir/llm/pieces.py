@@ -31,7 +31,7 @@ _UNIT = re.compile(r"▁*(?:[^\W\d_]+|\d+|(?:[^\w▁]|_)+)|▁+")
 _COARSE = re.compile(r"▁*[^▁]+|▁+")
 # Positions of a word are bits of a long, of which two are left free.
 LONGEST_WORD = 61
-BLOCK_CHARS = 2_000_000
+BLOCK_CHARS = 6_000_000
 
 
 @dataclass
@@ -92,7 +92,7 @@ def _ragged(offsets: np.ndarray, values: np.ndarray, rows: np.ndarray) -> tuple[
     return values[at], np.r_[0, ends]
 
 
-BLOCK_SCHEMA = "block string, keys array<long>, checks array<long>, sizes binary, codes binary, word_sizes binary, units array<string>, word_units binary"
+BLOCK_SCHEMA = "block long, keys array<long>, checks array<long>, sizes binary, codes binary, word_sizes binary, units array<string>, word_units binary"
 
 
 def blocks(docs: DataFrame, vocabulary: Vocabulary, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -120,7 +120,7 @@ def blocks(docs: DataFrame, vocabulary: Vocabulary, key: str = "doc_id", text: s
         checks = [zlib.crc32(t.encode()) for t in texts]
         cols = [[name], [keys], [checks], [_pack(np.array(sizes))], [_pack(rank[codes])], [_pack(np.array(word_sizes))],
                 [list(units)], [_pack(np.array(word_units))]]
-        types = [pa.string(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary(),
+        types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary(),
                  pa.list_(pa.string()), pa.binary()]
         names = [c.split(" ")[0] for c in BLOCK_SCHEMA.split(", ")]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=names)
@@ -136,18 +136,20 @@ def blocks(docs: DataFrame, vocabulary: Vocabulary, key: str = "doc_id", text: s
                 texts.append(t.as_py() or "")
                 size += len(texts[-1])
                 if size >= BLOCK_CHARS:
-                    yield close(f"{task}-{n}", keys, texts)
+                    yield close((task << 32) + n, keys, texts)
                     keys, texts, size, n = [], [], 0, n + 1
         if keys:
-            yield close(f"{task}-{n}", keys, texts)
+            yield close((task << 32) + n, keys, texts)
 
     return docs.select(F.col(key).cast("long"), text).mapInArrow(run, BLOCK_SCHEMA)
 
 
 def lattice(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """``word, edges`` for distinct words: the pieces ``(score, start, stop, id)`` that match within each.
+    """``word, edges`` for distinct words: the pieces ``(cost, start, stop, id, ends, within)`` that match in each.
 
-    A single character that is no piece has a null id. ``words`` must be distinct; Spark then keeps
+    ``cost`` is the negated score, so that edges are sorted from the best score and from the left;
+    ``ends`` and ``within`` are sets of positions, one bit each: the two ends, and what lies between.
+    A single character that is no piece has a null id and infinite cost. ``words`` must be distinct; Spark then keeps
     its partitioning by word, and neither the join with the piece table (as large as the model's
     vocabulary, hence broadcast) nor the grouping moves a row.
     """
@@ -162,10 +164,16 @@ def lattice(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         "word", "start", "size", F.substring("word", F.col("start") + 1, F.col("size")).alias("piece")
     )
     found = spans.join(F.broadcast(table), "piece", "left").filter("id IS NOT NULL OR size = 1")
+    stop = F.col("start") + F.col("size")
     edge = F.struct(
-        F.coalesce(F.col("score"), F.lit(float("-inf"))).alias("score"), "start", (F.col("start") + F.col("size")).alias("stop"), "id"
+        (-F.coalesce(F.col("score"), F.lit(float("-inf")))).alias("cost"), "start", stop.alias("stop"), "id",
+        _bit(F.col("start")).bitwiseOR(_bit(stop)).alias("ends"), (_bit(stop) - _bit(F.col("start") + 1)).alias("within"),
+    )
+    # The hash comes first because rows are sorted to be grouped, and numbers sort faster than words.
+    keys = [F.xxhash64("word").alias("hash"), "word"]
+    return found.select(*keys, edge.alias("edge")).groupBy("hash", "word").agg(
+        F.sort_array(F.collect_list("edge")).alias("edges")
     )
-    return found.groupBy("word").agg(F.collect_list(edge).alias("edges"))
 
 
 def _bit(i: Column) -> Column:
@@ -181,22 +189,6 @@ def merged_path(word: Column, edges: Column) -> Column:
     """
     n = F.length(word)
     done = F.lit(-(1 << 63))  # the sign bit: nothing is left to merge
-    ordered = F.array_sort(
-        F.transform(
-            edges,
-            lambda e: F.struct(
-                (-e["score"]).alias("cost"), e["start"].alias("start"), e["stop"].alias("stop"), e["id"].alias("id")
-            ),
-        )
-    )
-    marked = F.transform(
-        ordered,
-        lambda e: F.struct(
-            _bit(e["start"]).bitwiseOR(_bit(e["stop"])).alias("ends"),
-            (_bit(e["stop"]) - _bit(e["start"] + 1)).alias("within"),
-            e["start"].alias("start"), e["stop"].alias("stop"), e["id"].alias("id"),
-        ),
-    )
 
     def fold(longer: Column) -> Column:
         def step(state: Column, _: Column) -> Column:
@@ -215,7 +207,7 @@ def merged_path(word: Column, edges: Column) -> Column:
             ),
         )
 
-    return F.array_sort(F.transform(let(marked, chosen), lambda e: F.struct(e["start"], e["stop"], e["id"])))
+    return F.sort_array(F.transform(chosen(edges), lambda e: F.struct(e["start"], e["stop"], e["id"])))
 
 
 def best_path(word: Column, edges: Column, penalty: float) -> Column:
@@ -231,7 +223,7 @@ def best_path(word: Column, edges: Column, penalty: float) -> Column:
         here = F.transform(
             F.filter(edges, lambda e: e["stop"] == stop),
             lambda e: F.struct(
-                (F.get(reached, e["start"])["sum"] + F.when(e["id"].isNull(), penalty).otherwise(e["score"])).alias("sum"),
+                (F.get(reached, e["start"])["sum"] + F.when(e["id"].isNull(), penalty).otherwise(-e["cost"])).alias("sum"),
                 (-e["start"]).alias("back"), e["id"].alias("id"),
             ),
         )
@@ -315,45 +307,34 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, kind: str = "bpe", key: str
     """
     packed = cut(blocks(docs, vocabulary, key, text))
     words = packed.select(F.explode("units").alias("word")).distinct()
-    encoded = encode_words(words, vocabulary, kind)
-    wanted = packed.select("block", F.posexplode("units").alias("at", "word"))
-    dictionary = (
-        wanted.join(encoded, "word").groupBy("block").agg(F.array_sort(F.collect_list(F.struct("at", "ids"))).alias("entries"))
+    encoded = encode_words(words, vocabulary, kind).select("word", _as_bytes(F.col("ids")).alias("ids"))
+    # A name of its own, as both sides of the cogroup come from the same table.
+    wanted = packed.select(F.col("block").alias("of"), F.posexplode("units").alias("at", "word"))
+    entries = wanted.join(encoded, "word").select("of", "at", "ids")
+
+    def run(block: pa.Table, entries: pa.Table) -> pa.Table:
+        get = lambda name: block.column(name)[0]
+        sizes, codes = _unpack(get("sizes").as_py()), _unpack(get("codes").as_py())
+        word_sizes, word_units = _unpack(get("word_sizes").as_py()), _unpack(get("word_units").as_py())
+        entries = entries.sort_by("at")
+        listed = entries.column("ids").to_pylist()
+        unit_ids = np.frombuffer(b"".join(listed), ">u4").astype(np.int64)
+        unit_offsets = np.r_[0, np.cumsum([len(x) // 4 for x in listed])].astype(np.int64)
+        per_unit, ends = _ragged(unit_offsets, unit_ids, word_units)
+        word_offsets = ends[np.r_[0, np.cumsum(word_sizes)].astype(np.int64)]
+        ids, ends = _ragged(word_offsets, per_unit, codes)
+        doc_offsets = ends[np.r_[0, np.cumsum(sizes)].astype(np.int64)]
+        lists = pa.ListArray.from_arrays(pa.array(doc_offsets.astype(np.int32)), pa.array(ids.astype(np.int32)))
+        return pa.table([get("keys").values, lists, get("checks").values], names=["doc_id", "ids", "check"])
+
+    return packed.drop("units").groupBy("block").cogroup(entries.groupBy("of")).applyInArrow(
+        run, "doc_id long, ids array<int>, check long"
     )
-    joined = packed.drop("units").join(dictionary.select("block", F.col("entries.ids").alias("ids")), "block", "left")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in range(batch.num_rows):
-                get = lambda name: batch.column(names.index(name))[row]
-                sizes, codes = _unpack(get("sizes").as_py()), _unpack(get("codes").as_py())
-                word_sizes, word_units = _unpack(get("word_sizes").as_py()), _unpack(get("word_units").as_py())
-                lists = get("ids").values
-                if lists is None:
-                    unit_ids, unit_offsets = np.zeros(0, np.int32), np.zeros(1, np.int64)
-                else:
-                    unit_ids = lists.flatten().to_numpy()
-                    unit_offsets = np.r_[0, np.cumsum(np.diff(lists.offsets.to_numpy().astype(np.int64)))]
-                per_unit, ends = _ragged(unit_offsets, unit_ids, word_units)
-                word_offsets = ends[np.r_[0, np.cumsum(word_sizes)]]
-                ids, ends = _ragged(word_offsets, per_unit, codes)
-                doc_offsets = ends[np.r_[0, np.cumsum(sizes)]]
-                for i in range(0, len(sizes), 500):  # bounded batches
-                    part = doc_offsets[i : i + 501]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            get("keys").values[i : i + 500],
-                            pa.ListArray.from_arrays(
-                                pa.array((part - part[0]).astype(np.int32)), pa.array(ids[part[0] : part[-1]].astype(np.int32))
-                            ),
-                            get("checks").values[i : i + 500],
-                        ],
-                        names=["doc_id", "ids", "check"],
-                    )
-
-    columns = ["sizes", "codes", "word_sizes", "word_units", "keys", "checks", "ids"]
-    names = columns
-    return joined.select(*columns).mapInArrow(run, "doc_id long, ids array<int>, check long")
+
+def _as_bytes(ids: Column) -> Column:
+    """Four bytes for each id, the highest first: a quarter of what a row with an array takes in a shuffle."""
+    return F.unhex(F.array_join(F.transform(ids, lambda i: F.lpad(F.hex(i), 8, "0")), ""))
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary, ids: str = "ids", text: str = "decoded") -> DataFrame:
