@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions.formats import fixed
+from ..sources.request_log import append_batch
 from .once import once
 from .pii import detect_fast
 
@@ -263,5 +264,6 @@ def violations_to_log(df: DataFrame, keys: list[str], violations: str = "violati
     )
 
 
-def append_violations(log: DataFrame, path: str, time: str = "timestamp") -> None:
-    log.withColumn("violation_date", F.to_date(time)).write.mode("append").partitionBy("violation_date").parquet(path)
+def append_violations(log: DataFrame, path: str, time: str = "timestamp", batch_id: int = 0) -> None:
+    """Append to the violation log; a batch that is written again replaces its own rows."""
+    append_batch(log.withColumn("violation_date", F.to_date(time)), path, "violation_date", batch_id)

@@ -274,12 +274,14 @@ FROM violations v LEFT JOIN (
   SELECT doc_id, CASE WHEN type IN ('TCKN','CREDIT_CARD','IBAN') THEN 'no_pii_in_output' ELSE 'custom_pii_detection' END AS rule_name,
     string_agg({_SPAN_JSON}, ',' ORDER BY ord, span_start) AS body
   FROM spans WHERE type <> 'AMOUNT' GROUP BY 1, 2) e ON e.doc_id = v.doc_id AND e.rule_name = v.rule_name""")
-_query("s6", [], """
-SELECT CAST(position AS INT) AS position, name, type, enabled, severity, action FROM (VALUES
+_QUERIES["s3_append"] = _QUERIES["s3"]
+_query("s6", ["violations"], """
+SELECT CAST(v.position AS INT) AS position, name, type, enabled, v.severity, v.action, coalesce(n.violations, 0) AS violations FROM (VALUES
  (0,'max_tokens','threshold',true,'error','block'), (1,'no_pii_in_output','pii',true,'error','block'),
  (2,'content_filter','content',true,'warning','log'), (3,'custom_max_cost','threshold',true,'error','block'),
  (4,'custom_pii_detection','pii',true,'warning','log'), (5,'custom_content_safety','content',false,'warning','log'))
- v(position, name, type, enabled, severity, action)""")
+ v(position, name, type, enabled, severity, action)
+LEFT JOIN (SELECT rule_name, count(*) AS violations FROM violations GROUP BY 1) n ON n.rule_name = v.name""")
 _query("g1", ["requests"], """
 SELECT id, CASE WHEN total_tokens > 2000 THEN 'Token count ' || total_tokens || ' exceeds threshold 2000' END AS message,
   CASE WHEN total_tokens > 2000 THEN '{"message":"Token count ' || total_tokens || ' exceeds threshold 2000","tokens":' || total_tokens || ',"threshold":2000}' END AS details
@@ -368,6 +370,8 @@ _query("p3", ["requests"], _LOG + " WHERE user_id = 7 AND provider = 'openai'")
 _query("p4", ["requests"], """
 SELECT id, request_timestamp - INTERVAL 3 HOUR AS from_istanbul, request_timestamp + INTERVAL 5 HOUR AS from_new_york FROM requests""")
 _query("p5", ["requests"], _LOG + " WHERE request_timestamp >= TIMESTAMP '2024-01-13' AND request_timestamp <= TIMESTAMP '2024-01-20 23:59:59'")
+_query("p5_24h", ["requests"], _LOG + " WHERE request_timestamp >= TIMESTAMP '2024-01-19' AND request_timestamp <= TIMESTAMP '2024-01-20 23:59:59'")
+_query("p5_30d", ["requests"], _LOG + " WHERE request_timestamp >= TIMESTAMP '2024-01-11' AND request_timestamp <= TIMESTAMP '2024-02-10 23:59:59'")
 _query("p6", ["requests"], _LOG + " WHERE id = 777")
 _view("hooks", [], """
 SELECT n_nationkey AS webhook_id, 'https://' || lower(replace(n_name, ' ', '-')) || '.example.org/hook' AS url,
@@ -416,6 +420,8 @@ SELECT t AS "at", CAST(sum(step) OVER (ORDER BY t) AS BIGINT) AS active FROM (
  SELECT t, sum(step) AS step FROM (
   SELECT request_timestamp AS t, 1 AS step FROM requests
   UNION ALL SELECT request_timestamp + to_milliseconds(duration_ms), -1 FROM requests) m GROUP BY t) x""")
+_query("a16_peak", [], "SELECT max(active) AS peak FROM (" + _QUERIES["a16"][1] + ") y")
+_QUERIES["a16_peak"] = (_QUERIES["a16"][0], _QUERIES["a16_peak"][1])
 _view("entries", [], """
 SELECT vec_id, embedding::DOUBLE[] AS embedding, TIMESTAMP '2024-01-01' + to_seconds(vec_id * 10) AS created_at,
   TIMESTAMP '2024-01-01' + to_seconds(vec_id * 10 - 5) AS asked_at FROM embeddings""")
@@ -644,6 +650,10 @@ SELECT r.id, r.user_id, r.request_timestamp,
   NOT limited AND NOT blocked AND hit AS cache_hit,
   round(CASE WHEN NOT limited AND NOT blocked AND NOT hit AND coalesce(f.allowed, true) THEN r.cost_usd ELSE 0 END, 9) AS cost_usd
 FROM replay_in r LEFT JOIN replay_fold f USING (id)""")
+_query("x3_sliding", ["requests"], """
+SELECT CAST(w AS TIMESTAMP) AS window_start, CAST(w + INTERVAL 1 HOUR AS TIMESTAMP) AS window_end, count(*) AS total_requests,
+  CAST(sum(total_tokens) AS BIGINT) AS total_tokens
+FROM (SELECT *, time_bucket(INTERVAL 20 MINUTE, request_timestamp, TIMESTAMP '2000-01-01') - k * INTERVAL 20 MINUTE AS w FROM requests, range(3) r(k)) GROUP BY w""")
 _query("x3", ["requests"], f"""
 SELECT CAST(date_trunc('hour', request_timestamp) AS TIMESTAMP) AS window_start, CAST(date_trunc('hour', request_timestamp) + INTERVAL 1 HOUR AS TIMESTAMP) AS window_end, {_OVERVIEW}
 FROM requests GROUP BY 1, 2""")

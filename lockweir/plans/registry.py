@@ -133,9 +133,25 @@ def _(spark, d):
     return routing.request_text(derived.table(spark, d, "conversations"))
 
 
+@query("s3_append")
+def _(spark, d):
+    """The log as it is stored, after one of two batches was written twice."""
+    judged = guardrails.verdict(found(spark, d), None, F.col("text"), F.col("entities"))
+    log = guardrails.violations_to_log(judged, ["doc_id"]).withColumn("timestamp", F.timestamp_seconds(F.abs("doc_id") * 60))
+    path = f"{shared_dir(spark)}/violations-{uuid.uuid4().hex}"
+    for batch_id in (0, 1, 0):
+        guardrails.append_violations(log.filter(F.pmod("doc_id", F.lit(2)) == batch_id), path, batch_id=batch_id)
+    return spark.read.parquet(path).select("doc_id", "position", "rule_name", "severity", "action", "details")
+
+
 @query("s6")
 def _(spark, d):
-    return guardrails.rules_df(spark)
+    """The rule catalogue, and how often the given texts break each rule."""
+    judged = guardrails.verdict(found(spark, d), None, F.col("text"), F.col("entities"))
+    broken = guardrails.violations_to_log(judged, ["doc_id"]).groupBy(F.col("rule_name").alias("name")).agg(
+        F.count("*").alias("violations")
+    )
+    return guardrails.rules_df(spark).join(broken, "name", "left").fillna(0, ["violations"])
 
 
 @query("s7")
@@ -175,6 +191,16 @@ def _(spark, d):
     return projections.in_preset(requests(spark, d), at("2024-01-20 15:45:00"), "7d").select(*LOG)
 
 
+@query("p5_24h")
+def _(spark, d):
+    return projections.in_preset(requests(spark, d), at("2024-01-20 15:45:00"), "24h").select(*LOG)
+
+
+@query("p5_30d")
+def _(spark, d):
+    return projections.in_preset(requests(spark, d), at("2024-02-10 15:45:00"), "30d").select(*LOG)
+
+
 @query("p6")
 def _(spark, d):
     return projections.get_by_id(requests(spark, d), 777).select(*LOG)
@@ -369,6 +395,11 @@ def _(spark, d):
     return metrics.concurrency(derived.requests(spark, d, cost=False))
 
 
+@query("a16_peak")
+def _(spark, d):
+    return metrics.peak_concurrency(metrics.concurrency(derived.requests(spark, d, cost=False)))
+
+
 @query("a17")
 def _(spark, d):
     return metrics.cache_size(entries(spark, d), at("2024-01-01 01:10:00"))
@@ -875,11 +906,20 @@ def _(spark, d):
     return replay_plan.replay(rows, tight(spark), hits, derived.budgets(spark, d))
 
 
-def event_stream(spark, d):
-    schema = derived.table(spark, d, "events").schema
-    return derived.as_requests(
-        spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
-    )
+def event_stream(spark, d, slices: int = 4):
+    """The event table as files that arrive in order of time, one micro-batch each.
+
+    A trigger is bounded by its number of files, so a micro-batch is as large as a file.
+    """
+    events = derived.table(spark, d, "events")
+    path = f"{shared_dir(spark)}/arriving-{uuid.uuid4().hex}"
+    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    edges = events.agg(F.percentile_approx(us, [i / slices for i in range(1, slices)]).alias("e")).first()["e"] or []
+    for low, high in zip([None, *edges], [*edges, None]):
+        part = events if low is None else events.filter(us > low)
+        (part if high is None else part.filter(us <= high)).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    return derived.as_requests(stream)
 
 
 def run_stream(spark, stream: DataFrame, mode: str) -> DataFrame:
@@ -903,6 +943,14 @@ def _(spark, d):
     return rows.groupBy(*keys).agg(latest.alias("v")).select(*keys, "v.*")
 
 
+@query("x3_sliding")
+def _(spark, d):
+    priced = costs.with_cost(event_stream(spark, d), dims.prices_df(spark))
+    rows = run_stream(spark, live.live_stats(priced, slide="20 minutes"), "update")
+    latest = F.max_by(F.struct("total_requests", "total_tokens"), "batch_id").alias("v")
+    return rows.groupBy("window_start", "window_end").agg(latest).select("window_start", "window_end", "v.*")
+
+
 @query("x4")
 def _(spark, d):
     rows = run_stream(spark, limiter.limit_stream(tiered(event_stream(spark, d)), tight(spark)), "append")
