@@ -31,7 +31,7 @@ _UNIT = re.compile(r"▁*(?:[^\W\d_]+|\d+|(?:[^\w▁]|_)+)|▁+")
 _COARSE = re.compile(r"▁*[^▁]+|▁+")
 # Positions of a word are bits of a long, of which two are left free.
 LONGEST_WORD = 61
-BLOCK_CHARS = 6_000_000
+BLOCK_CHARS = 16_000_000
 
 
 @dataclass
