@@ -306,7 +306,9 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, kind: str = "bpe", key: str
     table gives no rows; other columns are ignored.
     """
     packed = cut(blocks(docs, vocabulary, key, text))
-    words = packed.select(F.explode("units").alias("word")).distinct()
+    # A lattice is many times as large as its word, so its partitions are not sized by the words' bytes.
+    parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    words = packed.select(F.explode("units").alias("word")).distinct().repartition(parts, "word")
     encoded = encode_words(words, vocabulary, kind).select("word", _as_bytes(F.col("ids")).alias("ids"))
     # A name of its own, as both sides of the cogroup come from the same table.
     wanted = packed.select(F.col("block").alias("of"), F.posexplode("units").alias("at", "word"))
