@@ -634,21 +634,24 @@ _view("replay_in", ["requests", "doc_spans", "rated", "best"], """
 SELECT r.user_id, r.id, r.request_timestamp, r.cost_usd, NOT a.allowed AS limited,
   EXISTS (SELECT 1 FROM doc_spans s WHERE s.doc_id = r.id AND s.type IN ('TCKN','CREDIT_CARD','IBAN'))
    OR r.total_tokens > 10000 OR r.cost_usd > 0.10::DOUBLE AS blocked,
+  EXISTS (SELECT 1 FROM documents o WHERE o.doc_id = r.id + 1) AND (r.id % 11 = 0
+    OR EXISTS (SELECT 1 FROM doc_spans s WHERE s.doc_id = r.id + 1 AND s.type IN ('TCKN','CREDIT_CARD','IBAN'))
+    OR (EXISTS (SELECT 1 FROM doc_spans s WHERE s.doc_id = r.id + 1) AND (r.total_tokens > 10000 OR r.cost_usd > 0.10::DOUBLE))) AS out_blocked,
   coalesce(b.similarity >= 0.35, false) AS hit, coalesce(""" + _WORDS.format(c="d.text") + """, 0) AS words
 FROM requests r JOIN rated a USING (id) LEFT JOIN best b ON b.query_id = r.id LEFT JOIN documents d ON d.doc_id = r.id""")
 _view("replay_rows", ["replay_in", "budgets"], """
 SELECT *, row_number() OVER (PARTITION BY user_id, period_start ORDER BY request_timestamp, id) AS k FROM (
  SELECT r.user_id, r.id, r.request_timestamp, CAST(date_trunc(CASE coalesce(b.period, 'monthly') WHEN 'daily' THEN 'day' WHEN 'weekly' THEN 'week' ELSE 'month' END, r.request_timestamp) AS TIMESTAMP) AS period_start,
-  CAST(round(r.cost_usd * 1e10::DOUBLE) AS BIGINT) AS units, CAST(round(words * 1.3::DOUBLE * 0.000002::DOUBLE * 1e10::DOUBLE) AS BIGINT) AS est,
+  CAST(round(CASE WHEN r.out_blocked THEN 0 ELSE r.cost_usd END * 1e10::DOUBLE) AS BIGINT) AS units, CAST(round(words * 1.3::DOUBLE * 0.000002::DOUBLE * 1e10::DOUBLE) AS BIGINT) AS est,
   CAST(round(coalesce(b.limit_usd, 1000::DOUBLE) * 1e10::DOUBLE) AS BIGINT) AS lim
  FROM replay_in r LEFT JOIN budgets b USING (user_id) WHERE NOT limited AND NOT blocked AND NOT hit) t""")
 _view("replay_fold", ["replay_rows"], _BUDGET_FOLD.format(src="replay_rows", fold="replay_fold"))
 _query("x2", ["replay_fold"], """
 SELECT r.id, r.user_id, r.request_timestamp,
-  CASE WHEN limited THEN 'failed' WHEN blocked THEN 'blocked' WHEN NOT coalesce(f.allowed, true) THEN 'budget_exceeded' ELSE 'completed' END AS status,
-  CASE WHEN limited THEN 'rate_limit' WHEN blocked THEN 'guardrail' WHEN NOT coalesce(f.allowed, true) THEN 'budget' END AS failure_reason,
+  CASE WHEN limited THEN 'failed' WHEN blocked THEN 'blocked' WHEN NOT coalesce(f.allowed, true) THEN 'budget_exceeded' WHEN out_blocked AND NOT hit THEN 'blocked' ELSE 'completed' END AS status,
+  CASE WHEN limited THEN 'rate_limit' WHEN blocked THEN 'guardrail' WHEN NOT coalesce(f.allowed, true) THEN 'budget' WHEN out_blocked AND NOT hit THEN 'output_guardrail' END AS failure_reason,
   NOT limited AND NOT blocked AND hit AS cache_hit,
-  round(CASE WHEN NOT limited AND NOT blocked AND NOT hit AND coalesce(f.allowed, true) THEN r.cost_usd ELSE 0 END, 9) AS cost_usd
+  round(CASE WHEN NOT limited AND NOT blocked AND NOT hit AND NOT out_blocked AND coalesce(f.allowed, true) THEN r.cost_usd ELSE 0 END, 9) AS cost_usd
 FROM replay_in r LEFT JOIN replay_fold f USING (id)""")
 _query("x3_sliding", ["requests"], """
 SELECT CAST(w AS TIMESTAMP) AS window_start, CAST(w + INTERVAL 1 HOUR AS TIMESTAMP) AS window_end, count(*) AS total_requests,

@@ -901,7 +901,11 @@ def _(spark, d):
 @query("x2")
 def _(spark, d):
     docs = derived.table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text")
-    rows = tiered(requests(spark, d)).join(docs, "id", "left")
+    # The completion is the text of the next document; to every eleventh a card number is added.
+    card = F.when(F.col("id") % 11 == 0, " Card 4111-1111-1111-1111.").otherwise("")
+    replies = docs.select((F.col("id") - 1).alias("id"), F.col("text").alias("reply"))
+    rows = tiered(requests(spark, d)).join(docs, "id", "left").join(replies, "id", "left")
+    rows = rows.withColumn("completion", F.concat("reply", card)).drop("reply")
     hits = cache.cache_lookup(*lookup_sides(spark, d), threshold=0.35)
     return replay_plan.replay(rows, tight(spark), hits, derived.budgets(spark, d))
 
