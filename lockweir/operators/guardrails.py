@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -107,10 +109,15 @@ def of_types(entities: Column, types: list[str]) -> Column:
 
 
 def content_matches(text: Column, patterns: list[str]) -> Column:
-    """Whether any pattern is found, ignoring case; each is searched by itself, as it stands."""
+    """Whether any pattern is found, ignoring case; each is searched by itself.
+
+    A ``.*`` or ``.*?`` at the start, with no further quantifier, cannot change whether a search
+    succeeds, but would make it walk each line once per character; it is left out.
+    """
     found = F.lit(False)
     for p in patterns:
-        found = found | text.rlike(f"(?iu){p}")
+        core = re.sub(r"^(?:\.\*\??(?![?+*{]))+", "", p)
+        found = found | text.rlike(f"(?iu){core}")
     return F.coalesce(found & (text != ""), F.lit(False))
 
 
