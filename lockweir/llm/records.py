@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from ..session import shared_dir
 from .crc32c import crc32c, masked
 
-_CACHE_WORDS = 800_000
+_CACHE_WORDS = 1_200_000
 _WORDS_AT_ONCE = 2_000
 _TEXT_CHARS = 2 << 20
 _FLUSH_BYTES = 8 << 20
