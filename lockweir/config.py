@@ -78,13 +78,13 @@ BUILTIN_RULES = [
 ]
 CUSTOM_RULES = [
     {"name": "custom_max_cost", "type": "threshold", "enabled": True, "severity": "error",
-     "action": "block", "description": "Block requests exceeding cost threshold",
+     "action": "block", "description": "Stop whatever costs more than this",
      "threshold": 0.10},
     {"name": "custom_pii_detection", "type": "pii", "enabled": True, "severity": "warning",
-     "action": "log", "description": "Log when PII is detected in input",
+     "action": "log", "description": "Note addresses and numbers in prompts",
      "entity_types": ["EMAIL", "PHONE"], "threshold": 1},
     {"name": "custom_content_safety", "type": "content", "enabled": False,
-     "severity": "warning", "action": "log", "description": "Content safety check",
+     "severity": "warning", "action": "log", "description": "Words that need a second look",
      "patterns": [".*sensitive.*", ".*confidential.*"]},
 ]
 

@@ -98,15 +98,6 @@ def recent_violations(log: DataFrame, user=None, n: int = 100, rule: str | None
     return rows.orderBy(F.col("timestamp").desc(), "request_id", "position").limit(n)
 
 
-def page_info(df: DataFrame, page_no: int = 1, page_size: int = 20) -> DataFrame:
-    """Total and number of pages next to the page itself."""
-    return df.agg(F.count("*").alias("total")).select(
-        "total",
-        F.lit(page_no).alias("page"),
-        F.lit(page_size).alias("page_size"),
-        F.ceil(F.col("total") / page_size).cast("long").alias("pages"),
-    )
-
 
 def envelope(df: DataFrame, page_no: int = 1, page_size: int = 20) -> DataFrame:
     """Items of one page, each row with the envelope values. The total is a scalar subquery."""

@@ -47,9 +47,6 @@ def as_requests(events: DataFrame) -> DataFrame:
     ).withColumn("total_tokens", F.col("prompt_tokens") + F.col("completion_tokens"))
 
 
-def pii_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return probe_texts(table(spark, sf_dir, "orders"))
-
 
 def probe_texts(orders: DataFrame) -> DataFrame:
     """One text per order that holds a national id, an IBAN and an amount."""
