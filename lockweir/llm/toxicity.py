@@ -26,6 +26,7 @@ _SENTENCE = re.compile(r"[^.!?\n]*[.!?\n]+|[^.!?\n]+")
 # A sentence without listed words is toxic with a chance of at most sigmoid(MOST_BIAS), so that the
 # noisy-or of a very long clean text stays low.
 MOST_BIAS = -11.0
+_CONTEXTS_AT_ONCE = 100_000
 SPAN = "struct<start:int,end:int,score:double>"
 
 
@@ -62,17 +63,23 @@ def context_counts(sample: DataFrame) -> DataFrame:
     """Per word, the distinct contexts it has in toxic and in other documents: ``word, pos, neg``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            seen = set()
-            for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = _WORD.findall((text or "").lower())
-                seen.update(zip(words, ["", *words], [y] * len(words)))
+        def told(seen):
             cols = list(zip(*seen)) or [(), (), ()]
-            yield pa.RecordBatch.from_arrays(
+            return pa.RecordBatch.from_arrays(
                 [pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.int32())],
                 names=["word", "before", "y"],
             )
 
+        for batch in batches:
+            seen: set[tuple[str, str, int]] = set()
+            for text, y in zip(batch.column(0), batch.column(1)):
+                words = _WORD.findall((text.as_py() or "").lower())
+                seen.update(zip(words, ["", *words], [y.as_py()] * len(words)))
+                if len(seen) > _CONTEXTS_AT_ONCE:
+                    yield told(seen)
+                    seen = set()
+            yield told(seen)
+
     pairs = sample.select("text", "y").mapInArrow(run, "word string, before string, y int")
     by_context = pairs.groupBy("word", F.xxhash64("before").alias("context"), "y").agg(F.lit(1).alias("one"))
     return by_context.groupBy("word").agg(
@@ -109,8 +116,8 @@ def bags(sample: DataFrame, words: list[str]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ns, found = [], []
-            for text in batch.column(0).to_pylist():
-                sentences = [m.group() for m in _SENTENCE.finditer((text or "").lower())]
+            for text in batch.column(0):
+                sentences = _SENTENCE.findall((text.as_py() or "").lower())
                 hits = [sorted({number[w] for w in _WORD.findall(s) if w in number}) for s in sentences]
                 ns.append(len(sentences))
                 found.append([h for h in hits if h])
