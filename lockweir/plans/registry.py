@@ -66,7 +66,9 @@ def turns(spark, sf_dir):
 
 
 def texts(spark, sf_dir):
-    probes = derived.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    # Dealt out while the rows are two numbers: the texts made of them are what costs time.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    probes = derived.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice").repartition(parts, "o_orderkey")
     return documents(spark, sf_dir).unionByName(
         derived.probe_texts(probes).select((-1 - F.col("doc_id")).alias("doc_id"), "text")
     )
