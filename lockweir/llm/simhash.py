@@ -195,3 +195,119 @@ def near_duplicates(docs: DataFrame, words: int = 3, key: str = "doc_id", text:
     linked = grown.join(named, "root").select("fp", "component_id")
     all_fps = distinct.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "first").alias("component_id"))
     return signed.join(all_fps, "fp").select("doc_id", "fp", "component_id")
+
+
+# --- fixed values: keys of a text are 24 groups of four smallest hashes, so a pair at a Jaccard similarity
+# of 0.8 shares none with a chance of (1 - 0.8^4)^24, about 3 in a million.
+_BANDS, _ROWS = 24, 4
+_DRAW = np.random.default_rng(42)
+_TURN = _DRAW.integers(0, 2**31, _BANDS * _ROWS, np.uint32) * np.uint32(2) + np.uint32(1)
+_ADD = _DRAW.integers(0, 2**32, _BANDS * _ROWS, np.uint32)
+_MIX = _DRAW.integers(0, 2**63, (_ROWS + 1, _BANDS), np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def shingle_set(text: bytes, words: int = 5) -> set[bytes]:
+    """The distinct word shingles; all words where there are fewer, none where there is no word."""
+    parts = text.lower().split()
+    if len(parts) < words:
+        return {b" ".join(parts)} if parts else set()
+    return set(map(b" ".join, zip(*(parts[i:] for i in range(words)))))
+
+
+def copy_keys(shingles: set[bytes]) -> np.ndarray:
+    """Keys of which two texts share at least one with a chance that grows steeply with their similarity."""
+    import xxhash
+
+    least = np.full(_BANDS * _ROWS, 0xFFFFFFFF, np.uint32)
+    h = np.fromiter((xxhash.xxh32_intdigest(s, 42) for s in shingles), np.uint32, len(shingles))
+    for start in range(0, len(h), 4096):
+        turned = h[start : start + 4096, None] * _TURN + _ADD
+        np.minimum(least, turned.min(0), out=least)
+    groups = least.reshape(_BANDS, _ROWS).T.astype(np.uint64)
+    mixed = (groups * _MIX[:_ROWS]).sum(0, dtype=np.uint64) + _MIX[_ROWS]
+    return ((mixed ^ mixed >> np.uint64(29)) * _MIX[0, 0]).view(np.int64)
+
+
+def _with_copy_keys(texts: DataFrame, words: int) -> DataFrame:
+    """``node, n, keys`` of each ``(node, text)``, ``n`` being the number of shingles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, keys = [], []
+            for t in batch.column(1):
+                shingles = shingle_set(t.as_py().encode(), words)
+                sizes.append(len(shingles))
+                keys.append(copy_keys(shingles))
+            flat = pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64))
+            offsets = pa.array(np.arange(len(keys) + 1, dtype=np.int32) * _BANDS)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(offsets, flat)],
+                names=["node", "n", "keys"],
+            )
+
+    return texts.mapInArrow(run, "node long, n long, keys array<long>")
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, similarity: float, words: int) -> DataFrame:
+    """The pairs ``(a, b)`` of nodes whose shingle sets have at least this Jaccard similarity."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, x = None, set()
+        for batch in batches:
+            near = []
+            for node, s, t in zip(batch.column(0).to_pylist(), batch.column(2), batch.column(3)):
+                if node != last:
+                    last, x = node, shingle_set(s.as_py().encode(), words)
+                y = shingle_set(t.as_py().encode(), words)
+                both = len(x & y)
+                near.append(both >= similarity * (len(x) + len(y) - both))
+            yield batch.select([0, 1]).filter(pa.array(near, pa.bool_()))
+
+    pairs = cut(pairs.distinct())
+    ends = cut(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+    held = cut(texts.join(ends, "node", "left_semi").dropDuplicates(["node"]))
+    side = lambda c: held.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}"))
+    joined = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "text_a", "text_b")
+    return cut(joined.mapInArrow(run, "a long, b long"))
+
+
+def near_copies(
+    docs: DataFrame, similarity: float = 0.8, words: int = 5, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """``doc_id, component_id`` for each row, links being a Jaccard similarity of word shingles of at least 0.8.
+
+    At that similarity about ten of 64 bits of a fingerprint differ, which no useful number of
+    deletion-variant keys finds. Candidates are texts that share a key of smallest hashes; each is
+    verified on the whole texts. The first text of a key is compared with all others; then those
+    that are not yet in one component are compared in pairs, so copies of one text stay linear.
+
+    Texts without words are copies of each other. Null ids and repeated rows as in ``near_duplicates``.
+    """
+    body = F.coalesce(F.col(text), F.lit(""))
+    own = docs.select(F.col(key).cast("long").alias("doc_id"), body.alias("text"), F.xxhash64(body).alias("node"))
+    texts = own.select("node", "text")
+    nodes = cut(_with_copy_keys(texts, words).dropDuplicates(["node"]))
+    keyed = nodes.select("node", "n", F.explode("keys").alias("key"))
+    alike = lambda m, n: F.least(m, n) >= similarity * F.greatest(m, n)
+    drawn = F.struct(F.xxhash64("key", "node").alias("draw"), "node", "n")  # another first text for each key
+    first = keyed.groupBy("key").agg(F.min(drawn).alias("first"), F.count("*").alias("size"))
+    met = cut(keyed.join(cut(first.filter("size > 1")), "key"))
+    stars = met.filter((F.col("node") != F.col("first.node")) & alike(F.col("n"), F.col("first.n")))
+    ends = [F.col("first.node"), F.col("node")]
+    near = _verified(stars.select(F.least(*ends).alias("a"), F.greatest(*ends).alias("b")), texts, similarity, words)
+    roots = cut(components(near))
+    rest = cut(
+        met.filter("size > 2").select("key", "node", "n").join(roots, "node", "left")
+        .select("key", "node", "n", F.coalesce("root", "node").alias("root"))
+    )
+    open_keys = rest.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
+    rest = cut(rest.join(cut(open_keys.select("key")), "key", "left_semi"))
+    other = rest.select("key", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "root")])
+    across = rest.join(other, "key").filter((F.col("node") < F.col("node_b")) & (F.col("root") != F.col("root_b")))
+    across = across.filter(alike(F.col("n"), F.col("n_b"))).select(F.col("node").alias("a"), F.col("node_b").alias("b"))
+    more = _verified(across, texts, similarity, words)
+    roots = components(near.unionByName(more))
+    rows = own.select("doc_id", "node").join(roots, "node", "left").select("doc_id", F.coalesce("root", "node").alias("root"))
+    rows = cut(rows)
+    named = rows.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    return rows.join(named, "root").select("doc_id", "component_id")
