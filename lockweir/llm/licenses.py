@@ -1,16 +1,17 @@
 """License scans by patience alignment.
 
 A document is cut into regions around the telling words of a template, so that a notice that stands
-there several times is found each time. In a region, words that occur once in both the region and
-the template are anchors; the longest increasing subsequence of the anchors is kept, and the gaps
-between kept anchors are aligned in the same way. Coverage is the share of the template's words
-that are aligned.
+there several times is found each time, and into stretches of template length and more around each
+place where the template may start, whatever its neighbours are; of finds that overlap the best is
+kept. In each, words that occur once in both it and the template are anchors; the longest increasing
+subsequence of the anchors is kept, and the gaps between kept anchors are aligned in the same way.
+Coverage is the share of the template's words that are aligned.
 """
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
+from bisect import bisect_left, insort
 from collections import Counter
 from dataclasses import dataclass
 from typing import Iterator
@@ -110,6 +111,38 @@ def regions(marks: list[tuple[int, str]], template: Template) -> Iterator[tuple[
         seen[w] += 1
 
 
+def places(marks: list[tuple[int, str]], template: Template, n_words: int, coverage: float):
+    """Where the template may start, likeliest first, each with the stretches of the document to align.
+
+    Each telling word says where the template would start if the word stood at its place in it. The
+    stretches have template length, and reach further on either side or both, whatever stands there.
+    Stretches with too few telling words for the coverage are left out.
+    """
+    size, total = len(template.words), sum(template.telling.values())
+    enough = max(1, min(0.5 * total, total - (1 - coverage) * size))
+    if len(marks) < enough:
+        return
+    at: dict[str, list[int]] = {}
+    for j, w in enumerate(template.words):
+        if w in template.telling:
+            at.setdefault(w, []).append(j)
+    votes = Counter(i - j for i, w in marks for j in at[w])
+    positions = [i for i, _ in marks]
+    more = size // 4 + 1
+    for start, _ in sorted(votes.items(), key=lambda v: (-v[1], v[0])):
+        ways = []
+        for before, after in ((0, 0), (more, more), (0, size), (size, 0), (size, size)):
+            low, high = max(0, start - before), min(n_words, start + size + after)
+            a, b = bisect_left(positions, low), bisect_left(positions, high)
+            if b - a < enough:
+                continue
+            seen = Counter(w for _, w in marks[a:b])
+            if sum(min(n, template.telling[w]) for w, n in seen.items()) >= enough:
+                ways.append((low, high))
+        if ways:
+            yield start, ways
+
+
 def scan_words(words: list[str], templates: list[Template], coverage: float, density: float):
     """``(template, first word, last word, aligned words)`` of each find."""
     telling: dict[str, list[Template]] = {}
@@ -121,16 +154,44 @@ def scan_words(words: list[str], templates: list[Template], coverage: float, den
         for t in telling.get(w, ()):
             marks.setdefault(t.name, []).append((i, w))
     for t in templates:
-        spans = list(regions(marks.get(t.name, []), t))
-        for n, (first, last) in enumerate(spans):
-            low = max(spans[n - 1][1] + 1 if n else 0, first - len(t.words))
-            high = min(spans[n + 1][0] if n + 1 < len(spans) else len(words), last + 1 + len(t.words))
+        own = marks.get(t.name, [])
+        finds, tried = [], set()
+
+        def align(low: int, high: int) -> tuple[int, int, int] | None:
+            if (low, high) in tried:
+                return None
+            tried.add((low, high))
             pairs = patience(words[low:high], list(t.words))
             if len(pairs) < coverage * len(t.words):
-                continue
+                return None
             start, stop = low + pairs[0][0], low + pairs[-1][0]
-            if len(pairs) >= density * (stop - start + 1):
-                yield t, start, stop, len(pairs)
+            if len(pairs) < density * (stop - start + 1):
+                return None
+            finds.append((start, stop, len(pairs)))
+            return finds[-1]
+
+        spans = list(regions(own, t))
+        for n, (first, last) in enumerate(spans):
+            low = max(spans[n - 1][1] + 1 if n else 0, first - len(t.words))
+            high = min(spans[n + 1][0] if n + 1 < len(spans) else len(words), last + 1 + len(t.words))
+            align(low, high)
+        whole: list[int] = []
+        for start, ways in places(own, t, len(words), coverage):
+            k = bisect_left(whole, start)
+            if any(2 * abs(start - w) < len(t.words) for w in whole[max(0, k - 1) : k + 1]):
+                continue  # in a whole copy
+            for low, high in ways:
+                found = align(low, high)
+                if found and found[2] == len(t.words) == found[1] - found[0] + 1:
+                    insort(whole, found[0])
+                    break
+        taken: list[tuple[int, int, int]] = []
+        for find in sorted(set(finds), key=lambda f: (-f[2], f[1] - f[0], f[0])):
+            k = bisect_left(taken, find)
+            if (not k or taken[k - 1][1] < find[0]) and (k == len(taken) or find[1] < taken[k][0]):
+                taken.insert(k, find)
+        for start, stop, n in taken:
+            yield t, start, stop, n
 
 
 SCHEMA = "doc_id long, license string, start int, end int, aligned int, coverage double"

@@ -20,3 +20,28 @@ def test_near_copies_go(spark):
     kept = corpus_pipeline.near_duplicates(spark, df, "")
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 3, 4, 7, 9]
     assert corpus_pipeline.near_duplicates(spark, df.limit(0), "").count() == 0
+
+
+def test_notices_below_a_heading_that_names_them():
+    from lockweir.llm import licenses
+
+    templates = [licenses.Template.of(*x) for x in licenses.LICENSES]
+    texts = dict(licenses.LICENSES)
+
+    def found(text, name):
+        words = licenses.words_of(text)
+        return [(a, b) for t, a, b, _ in licenses.scan_words(words, templates, 0.8, 0.5) if t.name == name]
+
+    tail = " Some words follow here, version 3 of the work, under a public license or none."
+    for heading, name in (
+        ("GNU General Public License, version 3. ", "GPL-3.0 line"),
+        ("Creative Commons Attribution 4.0 International License ", "CC-BY-4.0 line"),
+        ("The Software and this permission notice: conditions, rights, copies, persons, documentation, merge, publish, "
+         "distribute, sublicense, sell, copyright, portions, substantial, files, charge, granted, person. ", "MIT"),
+    ):
+        n, size = len(licenses.words_of(heading)), len(licenses.words_of(texts[name]))
+        for after in ("", tail, " " + heading):
+            assert found(heading + texts[name] + after, name) == [(n, n + size - 1)]
+        edited = texts[name].replace(" is ", " has been ").replace(" the ", " a ", 1)
+        assert len(found(heading + edited + tail, name)) == 1
+    assert found("Released under the MIT License. " * 50, "MIT line") == [(5 * i, 5 * i + 4) for i in range(50)]
