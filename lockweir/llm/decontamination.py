@@ -3,7 +3,8 @@
 Numbers, names and units of a text become typed placeholders; what is left is its template. Windows
 of template tokens of every document meet those of the benchmark in a hash join. Along one
 alignment of a document with an item, the slots are then compared: where the item has one value,
-the document must have one value too. Values that all agree make the copy verbatim; values that
+the document must have one value too. Texts are read in three ways: a capitalised word at the start
+of a sentence as a word, as a name, and all words and numbers as they are but for their case. Values that all agree make the copy verbatim; values that
 differ consistently make it a re-parameterised question. Only built-in functions are used.
 """
 
@@ -24,6 +25,7 @@ _UNITS = (
 # A word with a single capital (or several such words) that does not begin a sentence is a name.
 _NAME_WORDS = r"\p{Lu}\p{Ll}\p{L}*(?: \p{Lu}\p{Ll}\p{L}*)*"
 _NAME = rf"([\p{{L}}\p{{N}},;:] )({_NAME_WORDS})"
+_ANY_NAME = rf"(^|[^\p{{L}}\p{{M}}'])({_NAME_WORDS})"  # wherever it stands
 _NUMBER = r"\p{Nd}+(?:[.,:/]\p{Nd}+)*"
 _UNIT = rf"(\p{{Nd}})( ?)({'|'.join(_UNITS.split())}|[%°$€£])(?!\p{{L}})"
 _RAW_TOKEN = rf"{NAME_MARK}{_NAME_WORDS}|{UNIT_MARK}[\p{{L}}%°$€£]+|{_NUMBER}|\p{{L}}[\p{{L}}\p{{M}}']*"
@@ -39,19 +41,26 @@ def _clean(text: Column) -> Column:
     return F.when(marked, F.translate(text, NAME_MARK + UNIT_MARK, "  ")).otherwise(text)
 
 
-def _marked(text: Column, name: str, unit: str) -> Column:
-    named = F.regexp_replace(_clean(text), _NAME, name)
+# How a text is read: names within sentences only, names anywhere, or everything as plain words.
+WITHIN, ANYWHERE, PLAIN = READINGS = (0, 1, 2)
+
+
+def _marked(text: Column, name: str, unit: str, reading: int) -> Column:
+    named = F.regexp_replace(_clean(text), _NAME if reading == WITHIN else _ANY_NAME, name)
     return F.when(named.rlike(r"\p{Nd}"), F.regexp_replace(named, _UNIT, unit)).otherwise(named)
 
 
-def raw_tokens(text: Column) -> Column:
+def raw_tokens(text: Column, reading: int = WITHIN) -> Column:
     """Words as they stand and slot values, names and units with their mark; one to one with the template."""
-    return F.regexp_extract_all(_marked(text, f"$1{NAME_MARK}$2", f"$1 {UNIT_MARK}$3"), F.lit(_RAW_TOKEN), F.lit(0))
+    marked = _clean(text) if reading == PLAIN else _marked(text, f"$1{NAME_MARK}$2", f"$1 {UNIT_MARK}$3", reading)
+    return F.regexp_extract_all(marked, F.lit(_RAW_TOKEN), F.lit(0))
 
 
-def template_tokens(text: Column) -> Column:
+def template_tokens(text: Column, reading: int = WITHIN) -> Column:
     """Lower-case words, with numbers, names and units replaced by their placeholder."""
-    marked = _marked(text, f"$1{NAME_MARK}", f"$1 {UNIT_MARK}")
+    if reading == PLAIN:
+        return F.regexp_extract_all(F.lower(_clean(text)), F.lit(_RAW_TOKEN), F.lit(0))
+    marked = _marked(text, f"$1{NAME_MARK}", f"$1 {UNIT_MARK}", reading)
     numbered = F.when(marked.rlike(r"\p{Nd}"), F.regexp_replace(marked, _NUMBER, "0")).otherwise(marked)
     return F.regexp_extract_all(F.lower(numbered), F.lit(_TEMPLATE_TOKEN), F.lit(0))
 
@@ -66,16 +75,17 @@ def _windows(tokens: Column, size: int) -> Column:
     return F.when(last >= 0, hashed).otherwise(F.array().cast("array<bigint>"))
 
 
-def item_windows(benchmark: DataFrame, window: int) -> DataFrame:
+def item_windows(benchmark: DataFrame, window: int, reading: int = WITHIN) -> DataFrame:
     """``hash, size, item_id, at, need`` for each window of each item.
 
     Windows of which fewer than half the tokens are words are left out, unless an item has no other.
     An item shorter than ``window`` is one window of its own size.
     """
-    items = benchmark.select("item_id", template_tokens(F.col("text")).alias("tokens")).filter(F.size("tokens") > 0)
+    items = benchmark.select("item_id", template_tokens(F.col("text"), reading).alias("tokens")).filter(F.size("tokens") > 0)
     items = items.withColumn("size", F.least(F.size("tokens"), F.lit(window)))
     starts = F.sequence(F.lit(0), F.size("tokens") - F.col("size"))
-    words = lambda i: F.size(F.filter(F.slice("tokens", i + 1, F.col("size")), lambda t: ~_is_slot(t)))
+    is_word = (lambda t: t.isNotNull()) if reading == PLAIN else (lambda t: ~_is_slot(t))
+    words = lambda i: F.size(F.filter(F.slice("tokens", i + 1, F.col("size")), is_word))
     rich = F.filter(starts, lambda i: 2 * words(i) >= F.col("size"))
     items = items.withColumn("starts", F.when(F.size(rich) > 0, rich).otherwise(starts))
     return items.select("item_id", "tokens", "size", F.size("starts").alias("n_windows"), F.explode("starts").alias("at")).select(
@@ -94,8 +104,8 @@ def contaminated(
     """Documents that hold benchmark items, as ``doc_id, item_id, text_key`` and what was found.
 
     A document holds an item if at least ``least_windows`` distinct windows of it (all, if it has
-    fewer) match along one alignment and the slots there are consistent. The further columns tell of
-    the best alignment: ``at`` (first matched token of the item), ``tokens`` (aligned length),
+    fewer) match along one alignment of one reading and the slots there are consistent. The further columns tell of
+    the best alignment of the first reading that has one: ``at`` (first matched token of the item), ``tokens`` (aligned length),
     ``windows``, ``coverage`` (of the item's windows), ``slots`` and ``verbatim``. ``text_key`` is
     the XXH64 of the text.
 
@@ -104,35 +114,51 @@ def contaminated(
     rows; other columns are ignored.
     """
     benchmark = benchmark.select("item_id", F.coalesce("text", F.lit("")).alias("text")).distinct()
-    windows = cut(item_windows(benchmark, window))
-    sizes = sorted(r["size"] for r in windows.select("size").distinct().collect())  # at most `window` numbers
+    windows = None
+    for reading in READINGS:
+        part = item_windows(benchmark, window, reading).withColumn("reading", F.lit(reading))
+        windows = part if windows is None else windows.unionByName(part)
+    windows = cut(windows)
+    # at most `window` numbers for each reading
+    sizes = sorted((r["reading"], r["size"]) for r in windows.select("reading", "size").distinct().collect())
     n_windows = windows.count()
     own = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     text_key = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
-    tokens = own.select(text_key.alias("text_key"), template_tokens(F.col("text")).alias("tokens"))
     met = None
-    for size in sizes:
-        here = windows.filter(F.col("size") == size).drop("size")
+    for reading, size in sizes:
+        here = windows.filter((F.col("reading") == reading) & (F.col("size") == size)).drop("size", "reading")
         here = F.broadcast(here) if n_windows <= BROADCAST_ROWS else here
+        tokens = own.select(text_key.alias("text_key"), template_tokens(F.col("text"), reading).alias("tokens"))
         each = tokens.select("text_key", F.posexplode(_windows(F.col("tokens"), size)).alias("pos", "hash"))
         part = each.join(here, "hash").select(
-            "text_key", "item_id", (F.col("pos") - F.col("at")).alias("shift"), "at", F.lit(size).alias("size"), "n_windows"
+            "text_key", "item_id", F.lit(reading).alias("reading"), (F.col("pos") - F.col("at")).alias("shift"), "at",
+            F.lit(size).alias("size"), "n_windows",
         )
         met = part if met is None else met.unionByName(part)
     if met is None:
-        met = windows.select(F.col("hash").alias("text_key"), "item_id", F.lit(0).alias("shift"), "at", "size", "n_windows")
+        met = windows.select(
+            F.col("hash").alias("text_key"), "item_id", "reading", F.lit(0).alias("shift"), "at", "size", "n_windows"
+        )
     aligned = cut(
-        met.groupBy("text_key", "item_id", "shift")
+        met.groupBy("text_key", "item_id", "reading", "shift")
         .agg(
             F.countDistinct("at").alias("windows"), F.min("at").alias("at"), F.max(F.col("at") + F.col("size")).alias("stop"),
             F.max("n_windows").alias("n_windows"),
         )
         .filter(F.col("windows") >= F.least(F.lit(least_windows), "n_windows"))
     )
-    items = benchmark.select("item_id", raw_tokens(F.col("text")).alias("item"), template_tokens(F.col("text")).alias("template"))
+    items = None
+    for reading in READINGS:
+        part = benchmark.select(
+            "item_id", F.lit(reading).alias("reading"), raw_tokens(F.col("text"), reading).alias("item"),
+            template_tokens(F.col("text"), reading).alias("template"),
+        )
+        items = part if items is None else items.unionByName(part)
     keys = aligned.select("text_key").distinct()
     texts = own.withColumn("text_key", text_key).join(keys, "text_key").distinct()
-    held = texts.select("doc_id", "text_key", raw_tokens(F.col("text")).alias("doc")).join(aligned, "text_key").join(items, "item_id")
+    as_read = F.when(F.col("reading") == WITHIN, raw_tokens(F.col("text"), WITHIN))
+    as_read = as_read.when(F.col("reading") == ANYWHERE, raw_tokens(F.col("text"), ANYWHERE)).otherwise(F.array().cast("array<string>"))
+    held = texts.join(aligned, "text_key").withColumn("doc", as_read).drop("text").join(items, ["item_id", "reading"])
     n = F.col("stop") - F.col("at")
     side = lambda c, start: F.slice(c, F.greatest(start, F.lit(0)) + 1, n)
     zipped = F.zip_with(
@@ -141,7 +167,7 @@ def contaminated(
         lambda x, b: F.struct(x["a"].alias("a"), x["t"].alias("t"), b.alias("b")),
     )
     pairs = F.array_distinct(
-        F.transform(F.filter(zipped, lambda z: _is_slot(z["t"])), lambda z: F.struct(z["a"].alias("a"), z["b"].alias("b")))
+        F.transform(F.filter(zipped, lambda z: _is_slot(z["t"]) & (F.col("reading") != PLAIN)), lambda z: F.struct(z["a"].alias("a"), z["b"].alias("b")))
     )
     judged = held.withColumn("pairs", pairs).withColumn(
         "consistent", F.size(F.array_distinct(F.transform("pairs", lambda p: p["a"]))) == F.size("pairs")
@@ -151,6 +177,7 @@ def contaminated(
         "item_id",
         "text_key",
         F.struct(
+            (-F.col("reading")).alias("reading"),
             F.col("windows"),
             (-F.col("shift")).alias("order"),
             F.col("at"),

@@ -45,3 +45,18 @@ def test_notices_below_a_heading_that_names_them():
         edited = texts[name].replace(" is ", " has been ").replace(" the ", " a ", 1)
         assert len(found(heading + edited + tail, name)) == 1
     assert found("Released under the MIT License. " * 50, "MIT line") == [(5 * i, 5 * i + 4) for i in range(50)]
+
+
+def test_names_at_sentence_starts_and_other_case(spark):
+    from lockweir.llm import decontamination
+
+    ask = "{a} has {n} apples. {b} gives {a} {m} apples. How many apples does {a} have?"
+    item = ask.format(a="Alice", b="Bob", n=5, m=3)
+    mixed = "If Anna buys 12 apples and sells them to Bob Miller for 5 euros, how much does Anna Miller get in 0 days?"
+    docs = [(1, "Intro. " + ask.format(a="Carol", b="Dave", n=7, m=2)), (2, item.upper()), (3, item.lower()),
+            (4, ask.format(a="Carol", b="Dave", n=7, m=2).replace("does Carol", "does Erin")), (5, mixed.upper()), (6, mixed),
+            (7, "Eve has 7 pears. Dave gives Eve 2 plums. How many grapes does Eve have?")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item), (2, mixed)], "item_id long, text string")
+    out = {(r.doc_id, r.item_id): r.verbatim for r in decontamination.contaminated(df, bench).collect()}
+    assert out == {(1, 1): False, (2, 1): True, (3, 1): True, (5, 2): True, (6, 2): True}
