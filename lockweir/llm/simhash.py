@@ -279,7 +279,8 @@ def near_copies(
     At that similarity about ten of 64 bits of a fingerprint differ, which no useful number of
     deletion-variant keys finds. Candidates are texts that share a key of smallest hashes; each is
     verified on the whole texts. The first text of a key is compared with all others; then those
-    that are not yet in one component are compared in pairs, so copies of one text stay linear.
+    that are not yet in one component are compared in pairs. So copies of one text stay linear; a
+    large group of texts just below the similarity does not.
 
     Texts without words are copies of each other. Null ids and repeated rows as in ``near_duplicates``.
     """
