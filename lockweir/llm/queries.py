@@ -9,7 +9,9 @@ import corpus_pipeline
 
 from ..session import cut
 from ..sources.derived import table
-from . import chat, decontamination, licenses, pieces, quality, records, simhash, surrogates, topk, toxicity
+from . import (
+    chat, collocations, decontamination, licenses, pieces, quality, records, repeats, simhash, spelling, surrogates, topk, toxicity,
+)
 from .settings import byte_tokenizer, piece_model, surrogate_key
 from .training import fold
 
@@ -95,6 +97,21 @@ def op10_simhash_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_quotient_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 best phrases of two to four words in each language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_prefix_free_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of every document stays when strings of 100 bytes that stand earlier go."""
+    return repeats.without_repeats(table(spark, sf_dir, "documents"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the corpus with its most frequent neighbour at one edit."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_pii_surrogates": op1_pii_surrogates,
     "op2_impact_topk": op2_impact_topk,
@@ -106,6 +123,9 @@ QUERIES = {
     "op8_noisy_or_toxicity": op8_noisy_or_toxicity,
     "op9_piece_lattice": op9_piece_lattice,
     "op10_simhash_variants": op10_simhash_variants,
+    "op11_quotient_collocations": op11_quotient_collocations,
+    "op12_prefix_free_dedup": op12_prefix_free_dedup,
+    "op13_spelling_variants": op13_spelling_variants,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -146,4 +166,41 @@ ORACLES = {
           CAST(sum(upto) FILTER (role = 'assistant' OR n = size) AS BIGINT) AS formatted_chars
         FROM c GROUP BY conv_id
     """,
+    "op11_quotient_collocations": r"""
+        WITH p AS (
+          SELECT row_number() OVER () AS piece, lang, list_filter(string_split_regex(piece, '[ \t]+'), lambda x: x <> '') AS w
+          FROM (
+            SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+              translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents)),
+        g AS (
+          SELECT lang, k, w[i : i + k - 1] AS ids
+          FROM (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM p), (SELECT unnest([1, 2, 3, 4]) AS k)
+          WHERE i + k - 1 <= len(w)),
+        f AS (SELECT lang, k, ids, count(*) AS f FROM g GROUP BY ALL),
+        n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+        c AS (SELECT lang, k, ids, f AS a FROM f WHERE k > 1 AND f >= 30),
+        cuts AS (
+          SELECT c.lang, c.ids, c.k, c.a, x.l, x.r, x.cut, (CAST(2000000 AS HUGEINT) * c.a) // (x.l + x.r) AS score
+          FROM c JOIN (
+            SELECT d.lang, d.ids, d.cut, fl.f AS l, fr.f AS r
+            FROM (SELECT lang, ids, k, unnest(range(1, k)) AS cut FROM c) d
+            JOIN f fl ON fl.lang = d.lang AND fl.ids = d.ids[1 : d.cut]
+            JOIN f fr ON fr.lang = d.lang AND fr.ids = d.ids[d.cut + 1 : d.k]) x ON x.lang = c.lang AND x.ids = c.ids),
+        best AS (
+          SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, ids ORDER BY score, cut) = 1),
+        longer AS (
+          SELECT DISTINCT lang, part, a FROM (
+            SELECT lang, a, ids[i : i + m - 1] AS part
+            FROM (SELECT lang, k, ids, a, unnest(range(1, k + 1)) AS i FROM c), (SELECT unnest([2, 3]) AS m)
+            WHERE m < k AND i + m - 1 <= k)),
+        kept AS (
+          SELECT b.* FROM best b
+          WHERE NOT EXISTS (SELECT 1 FROM longer o WHERE o.lang = b.lang AND o.part = b.ids AND 100 * o.a >= 80 * b.a)),
+        ranked AS (
+          SELECT lang, array_to_string(ids, ' ') AS phrase, a, l, r, CAST(score AS BIGINT) AS score,
+            row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(ids, ' ')) AS rank
+          FROM kept)
+        SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+    """,
 }

@@ -71,3 +71,59 @@ def leaks(docs, items, window=8, least=6):
             for i, at in index.get(tuple(words[k : k + window]), ()):
                 found.setdefault((d, i), set()).add(at)
     return {pair for pair, ats in found.items() if len(ats) >= min(least, sizes[pair[1]])}
+
+
+def spelling(docs, one_in=97, least_length=5, least=3):
+    """Rows of the spelling variants, comparing all pairs of words."""
+    import zlib
+
+    n = {}
+    for d, text in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = "".join(c.lower() if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{'' if d is None else d}:{run}".encode())
+            if h % one_in == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            if len(run) >= least_length:
+                n[run] = n.get(run, 0) + 1
+    n = {w: c for w, c in n.items() if c >= least}
+
+    def near(a, b):
+        a, b = sorted((a, b), key=len)
+        if a == b or len(b) - len(a) > 1:
+            return False
+        if len(a) == len(b):
+            return sum(x != y for x, y in zip(a, b)) == 1
+        return any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+    around = {w: [x for x in n if near(w, x)] for w in n}
+    form = {}
+    for w, xs in around.items():
+        best = min(xs, key=lambda x: (-n[x], x), default=None)
+        form[w] = best if best is not None and n[best] >= 2 * n[w] else None
+
+    def root(w):
+        while form[w] is not None:
+            w = form[w]
+        return w
+
+    return {(w, form[w], root(w), n[w], len(around[w]), n[form[w]] if form[w] else None) for w in n}
+
+
+def repeats(docs, length=100):
+    """Per document what stays, with a set of all strings seen so far; ``docs`` in order of their ids."""
+    import hashlib
+
+    seen, out = set(), []
+    for d, text in docs:
+        data = (text or "").encode()
+        gone = bytearray(len(data))
+        for p in range(len(data) - length + 1):
+            s = data[p : p + length]
+            if s in seen:
+                gone[p : p + length] = b"\1" * length
+            seen.add(s)
+        spans = len(re.findall(b"\1+", bytes(gone)))
+        kept = bytes(c for c, g in zip(data, gone) if not g)
+        out.append((d, len(data), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+    return out
