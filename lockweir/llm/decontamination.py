@@ -2,97 +2,192 @@
 
 Numbers, names and units of a text become typed placeholders; what is left is its template. Windows
 of template tokens of every document meet those of the benchmark in a hash join. Along one
-alignment of a document with an item, the slots are then compared: where the item has one value,
-the document must have one value too. Texts are read in three ways: a capitalised word at the start
-of a sentence as a word, as a name, and all words and numbers as they are but for their case. Values that all agree make the copy verbatim; values that
-differ consistently make it a re-parameterised question. Only built-in functions are used.
+alignment of a document with an item, the slots are then compared: where the item has one name or unit,
+the document must have one too. Texts are tokenised once and read in three ways: a capitalised word at the start
+of a sentence as a word, as a name, and all words and numbers as they are but for their case. Values that all agree
+make the copy verbatim; values that differ consistently make it a re-parameterised question.
+
+Nearly no document holds a window of the benchmark. Each benchmark window has an anchor, its longest run of three
+neighbouring words (or two or one, where there are no more), and only documents with an anchor among their plain words are read in all ways. A plan
+holds a bounded number of anchors; for a larger benchmark this step is left out. Only built-in functions are used.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.once import once
 from ..session import cut
 
 # --- fixed values
-NAME_MARK, UNIT_MARK = "\ue000", "\ue001"  # private-use characters
+NAME_MARK, UNIT_MARK, START_MARK = "", "", ""  # private-use characters
 _UNITS = (
     "km cm mm m kg mg g lb lbs oz ml l mph kmh hours hour minutes minute seconds second days day weeks week months "
     "month years year dollars dollar euros euro cents cent percent miles mile meters metres feet foot inches inch "
     "grams kilograms liters litres degrees usd eur gbp"
 )
-# A word with a single capital (or several such words) that does not begin a sentence is a name.
-_NAME_WORDS = r"\p{Lu}\p{Ll}\p{L}*(?: \p{Lu}\p{Ll}\p{L}*)*"
-_NAME = rf"([\p{{L}}\p{{N}},;:] )({_NAME_WORDS})"
-_ANY_NAME = rf"(^|[^\p{{L}}\p{{M}}'])({_NAME_WORDS})"  # wherever it stands
-_NUMBER = r"\p{Nd}+(?:[.,:/]\p{Nd}+)*"
-_UNIT = rf"(\p{{Nd}})( ?)({'|'.join(_UNITS.split())}|[%°$€£])(?!\p{{L}})"
-_RAW_TOKEN = rf"{NAME_MARK}{_NAME_WORDS}|{UNIT_MARK}[\p{{L}}%°$€£]+|{_NUMBER}|\p{{L}}[\p{{L}}\p{{M}}']*"
-_TEMPLATE_TOKEN = rf"{NAME_MARK}|{UNIT_MARK}|0|\p{{L}}[\p{{L}}\p{{M}}']*"
+# A word with a single capital (or several such words) is a name. All loops are possessive: the
+# matcher then neither goes back nor needs a stack frame for each round, however long a run is.
+_WORD = r"\p{L}[\p{L}\p{M}']*+"
+_NAME_WORD = r"\p{Lu}\p{Ll}[\p{L}\p{M}']*+"
+_NAME_WORDS = rf"{_NAME_WORD}(?: {_NAME_WORD})*+"
+_NAME = rf"\p{{Lu}}(?<![\p{{L}}\p{{M}}']\p{{Lu}})\p{{Ll}}[\p{{L}}\p{{M}}']*+(?: {_NAME_WORD})*+"
+_AT_START = rf"{NAME_MARK}(?<![\p{{L}}\p{{N}},;:] {NAME_MARK})"  # a name that does not stand within a sentence
+_NUMBER = r"\p{Nd}++(?:[.,:/]\p{Nd}++)*+"
+_UNIT = rf"(\p{{Nd}})( ?)({'|'.join(_UNITS.split())}|[%°$€£])(?![\p{{L}}\p{{M}}'])"
+_TOKEN = rf"[{NAME_MARK}{START_MARK}]{_NAME_WORDS}|{UNIT_MARK}[\p{{L}}%°$€£]++|{_NUMBER}|{_WORD}"
+
+_PLAIN_TOKEN = rf"{_NUMBER}|{_WORD}"
 
-# A join side of (hash, item, position) rows up to this many is sent to all executors: 32 MB at most.
-BROADCAST_ROWS = 1_000_000
+# Anchors (8 bytes each) that a plan holds at most; with more, all documents are read in all ways.
+_MOST_ANCHORS = 1 << 16
 
 
 def _clean(text: Column) -> Column:
     text = F.coalesce(text, F.lit(""))
-    marked = text.contains(NAME_MARK) | text.contains(UNIT_MARK)
-    return F.when(marked, F.translate(text, NAME_MARK + UNIT_MARK, "  ")).otherwise(text)
+    marks = (NAME_MARK, UNIT_MARK, START_MARK)
+    marked = text.contains(marks[0]) | text.contains(marks[1]) | text.contains(marks[2])
+    return F.when(marked, F.translate(text, "".join(marks), "   ")).otherwise(text)
 
 
 # How a text is read: names within sentences only, names anywhere, or everything as plain words.
 WITHIN, ANYWHERE, PLAIN = READINGS = (0, 1, 2)
 
 
-def _marked(text: Column, name: str, unit: str, reading: int) -> Column:
-    named = F.regexp_replace(_clean(text), _NAME if reading == WITHIN else _ANY_NAME, name)
-    return F.when(named.rlike(r"\p{Nd}"), F.regexp_replace(named, _UNIT, unit)).otherwise(named)
+def marked_tokens(text: Column) -> Column:
+    """Words as they stand, numbers, and names and units with their mark; a name that begins a sentence has a mark of its own."""
+    named = F.regexp_replace(_clean(text), _NAME, f"{NAME_MARK}$0")
+    named = F.regexp_replace(named, _AT_START, START_MARK)
+    marked = F.when(named.rlike(r"\p{Nd}"), F.regexp_replace(named, _UNIT, f"$1 {UNIT_MARK}$3")).otherwise(named)
+    return F.regexp_extract_all(marked, F.lit(_TOKEN), F.lit(0))
+
+
+def plain_tokens(text: Column) -> Column:
+    """All words and numbers in lower case."""
+    return F.regexp_extract_all(F.lower(_clean(text)), F.lit(_PLAIN_TOKEN), F.lit(0))
+
+
+def _body(token: Column) -> Column:
+    return F.substring(token, 2, 1 << 30)
+
+
+def read_tokens(marked: Column, reading: int) -> Column:
+    """The marked tokens with names within sentences only, or anywhere.
+
+    In the first reading, a name that begins a sentence is a word, and a name of what follows it.
+    """
+    starts = lambda t: F.startswith(t, F.lit(START_MARK))
+    if reading == ANYWHERE:
+        return F.transform(marked, lambda t: F.when(starts(t), F.concat(F.lit(NAME_MARK), _body(t))).otherwise(t))
+
+    def split(token: Column) -> Column:
+        first = F.substring_index(_body(token), " ", 1)
+        rest = F.substring(token, F.length(first) + 3, F.length(token))
+        return F.when(starts(token) & token.contains(" "), F.array(first, F.concat(F.lit(NAME_MARK), rest))).when(
+            starts(token), F.array(first)
+        ).otherwise(F.array(token))
+
+    return F.flatten(F.transform(marked, split))
 
 
-def raw_tokens(text: Column, reading: int = WITHIN) -> Column:
-    """Words as they stand and slot values, names and units with their mark; one to one with the template."""
-    marked = _clean(text) if reading == PLAIN else _marked(text, f"$1{NAME_MARK}$2", f"$1 {UNIT_MARK}$3", reading)
-    return F.regexp_extract_all(marked, F.lit(_RAW_TOKEN), F.lit(0))
+def _placed(token: Column) -> Column:
+    first = F.substring(token, 1, 1)
+    digit = (first <= "9") | (first > "\x7f") & first.rlike(r"\p{Nd}")
+    mark = F.when(first == UNIT_MARK, UNIT_MARK).otherwise(NAME_MARK)
+    return F.when(first.isin(NAME_MARK, UNIT_MARK, START_MARK), mark).when(digit, "0").otherwise(F.lower(token))
 
 
-def template_tokens(text: Column, reading: int = WITHIN) -> Column:
-    """Lower-case words, with numbers, names and units replaced by their placeholder."""
-    if reading == PLAIN:
-        return F.regexp_extract_all(F.lower(_clean(text)), F.lit(_RAW_TOKEN), F.lit(0))
-    marked = _marked(text, f"$1{NAME_MARK}", f"$1 {UNIT_MARK}", reading)
-    numbered = F.when(marked.rlike(r"\p{Nd}"), F.regexp_replace(marked, _NUMBER, "0")).otherwise(marked)
-    return F.regexp_extract_all(F.lower(numbered), F.lit(_TEMPLATE_TOKEN), F.lit(0))
+def template_tokens(tokens: Column) -> Column:
+    """Lower-case words, with numbers, names and units replaced by their placeholder; one to one with ``tokens``."""
+    return F.transform(tokens, _placed)
 
 
 def _is_slot(token: Column) -> Column:
     return token.isin("0", NAME_MARK, UNIT_MARK)
 
 
-def _windows(tokens: Column, size: int) -> Column:
+def _run(tokens: Column, at: Column, words: int) -> Column:
+    return F.xxhash64(*(F.get(tokens, at + k) for k in range(words)))
+
+
+def _anchor(tokens: Column, reading: Column) -> Column:
+    """``words, size, number`` of a window's anchor: of its runs of three, or else two, or else one, words the longest.
+
+    Words that are neighbours in a template are so in the plain text.
+    """
+    is_word = F.transform(tokens, lambda t: ~_is_slot(t) | (reading == PLAIN))
+
+    def runs(words: int) -> Column:
+        at = F.sequence(F.lit(0), F.size(tokens) - 1)
+        all_words = lambda i: F.forall(F.slice(is_word, i + 1, words), lambda x: x) & (i <= F.size(tokens) - words)
+        size = lambda i: F.length(F.array_join(F.slice(tokens, i + 1, words), ""))
+        return F.transform(F.filter(at, all_words), lambda i: F.struct(F.lit(words).alias("words"), size(i).alias("size"), _run(tokens, i, words).alias("number")))
+
+    return F.array_max(F.concat(*(runs(words) for words in (1, 2, 3))))
+
+
+def _anchored(plain: Column, anchors: dict[int, list[int]]) -> Column:
+    """Whether a text holds an anchor of the benchmark; with too many of them, all texts may."""
+    if sum(map(len, anchors.values())) > _MOST_ANCHORS:
+        return F.lit(True)
+    found = F.lit(False)
+    for words, numbers in sorted(anchors.items()):
+        at = F.sequence(F.lit(0), F.greatest(F.size(plain) - words, F.lit(0)))
+        found = found | F.exists(at, lambda i: _run(plain, i, words).isin(numbers))
+    return found
+
+
+def _windows(tokens: Column, reading: int, size: int) -> Column:
+    """``reading, size, pos, hash`` of all windows; only a document of one word holds an item of one word."""
+    row = lambda i: F.struct(
+        F.lit(reading).alias("reading"), F.lit(size).alias("size"), i.alias("pos"), F.xxhash64(F.slice(tokens, i + 1, size)).alias("hash")
+    )
     last = F.size(tokens) - size
-    hashed = F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.slice(tokens, i + 1, size)))
-    return F.when(last >= 0, hashed).otherwise(F.array().cast("array<bigint>"))
+    fits = (last == 0) if size == 1 else (last >= 0)
+    return F.when(fits, F.transform(F.sequence(F.lit(0), last), row)).otherwise(F.array().cast("array<struct<reading:int,size:int,pos:int,hash:bigint>>"))
+
+
+def read_items(benchmark: DataFrame) -> DataFrame:
+    """``item_id, reading, item, template``: the tokens of each item in each reading, and their template."""
+    items = once(benchmark, marked=marked_tokens(F.col("text"))).select("item_id", F.explode(_read("item")).alias("r"))
+    return items.select("item_id", "r.*").withColumn("template", _template(F.col("item"))).filter(F.size("item") > 0)
+
+
+def _read(name: str) -> Column:
+    """From ``text`` and ``marked``, the tokens of all readings."""
+    tokens = lambda r: plain_tokens(F.col("text")) if r == PLAIN else read_tokens(F.col("marked"), r)
+    return F.array(*(F.struct(F.lit(r).alias("reading"), tokens(r).alias(name)) for r in READINGS))
 
 
-def item_windows(benchmark: DataFrame, window: int, reading: int = WITHIN) -> DataFrame:
-    """``hash, size, item_id, at, need`` for each window of each item.
+def _template(tokens: Column) -> Column:
+    return F.when(F.col("reading") == PLAIN, tokens).otherwise(template_tokens(tokens))
 
-    Windows of which fewer than half the tokens are words are left out, unless an item has no other.
+
+def item_windows(items: DataFrame, window: int) -> DataFrame:
+    """``hash, size, item_id, reading, at, n_windows, anchor`` for each window of each item in each reading.
+
+    Windows of which fewer than half the tokens are words are left out, unless an item has no other; those
+    without a word always are.
     An item shorter than ``window`` is one window of its own size.
     """
-    items = benchmark.select("item_id", template_tokens(F.col("text"), reading).alias("tokens")).filter(F.size("tokens") > 0)
-    items = items.withColumn("size", F.least(F.size("tokens"), F.lit(window)))
-    starts = F.sequence(F.lit(0), F.size("tokens") - F.col("size"))
-    is_word = (lambda t: t.isNotNull()) if reading == PLAIN else (lambda t: ~_is_slot(t))
-    words = lambda i: F.size(F.filter(F.slice("tokens", i + 1, F.col("size")), is_word))
+    tokens = F.col("template")
+    items = items.withColumn("size", F.least(F.size(tokens), F.lit(window)))
+    starts = F.sequence(F.lit(0), F.size(tokens) - F.col("size"))
+    words = lambda i: F.size(F.filter(F.slice(tokens, i + 1, F.col("size")), lambda t: ~_is_slot(t) | (F.col("reading") == PLAIN)))
     rich = F.filter(starts, lambda i: 2 * words(i) >= F.col("size"))
-    items = items.withColumn("starts", F.when(F.size(rich) > 0, rich).otherwise(starts))
-    return items.select("item_id", "tokens", "size", F.size("starts").alias("n_windows"), F.explode("starts").alias("at")).select(
-        F.xxhash64(F.slice("tokens", F.col("at") + 1, F.col("size"))).alias("hash"), "size", "item_id", "at", "n_windows"
+    items = items.withColumn("starts", F.when(F.size(rich) > 0, rich).otherwise(F.filter(starts, lambda i: words(i) > 0)))
+    each = items.select("item_id", "reading", tokens, "size", F.size("starts").alias("n_windows"), F.explode("starts").alias("at"))
+    window_tokens = F.slice(tokens, F.col("at") + 1, F.col("size"))
+    return each.select(
+        F.xxhash64(window_tokens).alias("hash"), "size", "item_id", "reading", "at", "n_windows", _anchor(window_tokens, F.col("reading")).alias("anchor")
     )
 
 
+def text_key(text: Column) -> Column:
+    return F.md5(F.coalesce(text, F.lit("")).cast("binary"))
+
+
 def contaminated(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -104,85 +199,81 @@ def contaminated(
     """Documents that hold benchmark items, as ``doc_id, item_id, text_key`` and what was found.
 
     A document holds an item if at least ``least_windows`` distinct windows of it (all, if it has
-    fewer) match along one alignment of one reading and the slots there are consistent. The further columns tell of
+    fewer) match along one alignment of one reading, token by token, and the names and units there are consistent:
+    where the item has one name, the document has one name, word by word. Numbers may differ as they like, as two
+    of an item can be equal by chance. The further columns tell of
     the best alignment of the first reading that has one: ``at`` (first matched token of the item), ``tokens`` (aligned length),
     ``windows``, ``coverage`` (of the item's windows), ``slots`` and ``verbatim``. ``text_key`` is
-    the XXH64 of the text.
+    the MD5 of the text.
 
-    Null texts hold nothing, null ids are told as null; repeated documents are told once per
-    distinct id; repeated items once. Items without tokens match nothing; empty tables give no
-    rows; other columns are ignored.
+    Null texts hold nothing, null ids are told as null; texts of any length are read as a whole; repeated documents
+    are told once per distinct id; repeated items once. Items without tokens match nothing, an item of one
+    word only a document of one word; empty tables give no rows; other columns are ignored.
     """
     benchmark = benchmark.select("item_id", F.coalesce("text", F.lit("")).alias("text")).distinct()
-    windows = None
-    for reading in READINGS:
-        part = item_windows(benchmark, window, reading).withColumn("reading", F.lit(reading))
-        windows = part if windows is None else windows.unionByName(part)
-    windows = cut(windows)
+    items = cut(read_items(benchmark))
+    windows = cut(item_windows(items, window))
     # at most `window` numbers for each reading
     sizes = sorted((r["reading"], r["size"]) for r in windows.select("reading", "size").distinct().collect())
-    n_windows = windows.count()
-    own = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
-    text_key = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
-    met = None
-    for reading, size in sizes:
-        here = windows.filter((F.col("reading") == reading) & (F.col("size") == size)).drop("size", "reading")
-        here = F.broadcast(here) if n_windows <= BROADCAST_ROWS else here
-        tokens = own.select(text_key.alias("text_key"), template_tokens(F.col("text"), reading).alias("tokens"))
-        each = tokens.select("text_key", F.posexplode(_windows(F.col("tokens"), size)).alias("pos", "hash"))
-        part = each.join(here, "hash").select(
-            "text_key", "item_id", F.lit(reading).alias("reading"), (F.col("pos") - F.col("at")).alias("shift"), "at",
-            F.lit(size).alias("size"), "n_windows",
-        )
-        met = part if met is None else met.unionByName(part)
-    if met is None:
-        met = windows.select(
-            F.col("hash").alias("text_key"), "item_id", "reading", F.lit(0).alias("shift"), "at", "size", "n_windows"
-        )
+    # Of the windows that an alignment needs, all but one may be without an anchor: those with the shortest ones.
+    spare = F.least(F.lit(least_windows), F.col("n_windows")) - 1
+    order = Window.partitionBy("item_id", "reading").orderBy("anchor.words", "anchor.size", "at")
+    wanted = windows.withColumn("place", F.row_number().over(order)).filter(F.col("place") > spare)
+    anchors: dict[int, list[int]] = {}
+    for r in wanted.select("anchor.words", "anchor.number").distinct().limit(_MOST_ANCHORS + 1).collect():
+        anchors.setdefault(r["words"], []).append(r["number"])
+    own = once(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")), plain=plain_tokens(F.col("text")))
+    own = cut(own.filter(_anchored(F.col("plain"), anchors)).select("doc_id", "text", text_key(F.col("text")).alias("text_key")))
+    names = {WITHIN: "within", ANYWHERE: "anywhere", PLAIN: "plain"}
+    read = once(
+        once(own.select("text_key", "text"), marked=marked_tokens(F.col("text"))), plain=plain_tokens(F.col("text")),
+        within=template_tokens(read_tokens(F.col("marked"), WITHIN)), anywhere=template_tokens(F.col("marked")),
+    )
+    told = F.concat(
+        F.array().cast("array<struct<reading:int,size:int,pos:int,hash:bigint>>"),
+        *(_windows(F.col(names[reading]), reading, size) for reading, size in sizes),
+    )
+    met = read.select("text_key", F.explode(told).alias("w")).select("text_key", "w.*").join(windows.drop("anchor"), ["hash", "reading", "size"])
+    shift = F.col("pos") - F.col("at")
     aligned = cut(
-        met.groupBy("text_key", "item_id", "reading", "shift")
-        .agg(
-            F.countDistinct("at").alias("windows"), F.min("at").alias("at"), F.max(F.col("at") + F.col("size")).alias("stop"),
-            F.max("n_windows").alias("n_windows"),
-        )
-        .filter(F.col("windows") >= F.least(F.lit(least_windows), "n_windows"))
+        met.groupBy("text_key", "item_id", "reading", "size", "n_windows", shift.alias("shift"))
+        .agg(F.collect_set("at").alias("ats"))
+        .filter(F.size("ats") >= F.least(F.lit(least_windows), "n_windows"))
     )
-    items = None
-    for reading in READINGS:
-        part = benchmark.select(
-            "item_id", F.lit(reading).alias("reading"), raw_tokens(F.col("text"), reading).alias("item"),
-            template_tokens(F.col("text"), reading).alias("template"),
-        )
-        items = part if items is None else items.unionByName(part)
     keys = aligned.select("text_key").distinct()
-    texts = own.withColumn("text_key", text_key).join(keys, "text_key").distinct()
-    as_read = F.when(F.col("reading") == WITHIN, raw_tokens(F.col("text"), WITHIN))
-    as_read = as_read.when(F.col("reading") == ANYWHERE, raw_tokens(F.col("text"), ANYWHERE)).otherwise(F.array().cast("array<string>"))
-    held = texts.join(aligned, "text_key").withColumn("doc", as_read).drop("text").join(items, ["item_id", "reading"])
-    n = F.col("stop") - F.col("at")
-    side = lambda c, start: F.slice(c, F.greatest(start, F.lit(0)) + 1, n)
+    texts = once(own.join(keys, "text_key").distinct(), marked=marked_tokens(F.col("text")))
+    read = texts.select("doc_id", "text_key", F.explode(_read("doc")).alias("r")).select("doc_id", "text_key", "r.*")
+    held = read.join(aligned, ["text_key", "reading"]).withColumn("doc_template", _template(F.col("doc"))).join(items, ["item_id", "reading"])
+    # What a hash has found is compared once token by token.
+    same = lambda a: F.slice("template", a + 1, F.col("size")) == F.slice("doc_template", a + F.col("shift") + 1, F.col("size"))
+    held = held.withColumn("ats", F.filter("ats", same)).filter(F.size("ats") >= F.least(F.lit(least_windows), "n_windows"))
+    held = held.withColumn("at", F.array_min("ats")).withColumn("n", F.array_max("ats") + F.col("size") - F.col("at"))
+    side = lambda c, start: F.slice(c, F.greatest(start, F.lit(0)) + 1, F.col("n"))
     zipped = F.zip_with(
         F.zip_with(side("item", F.col("at")), side("template", F.col("at")), lambda a, t: F.struct(a.alias("a"), t.alias("t"))),
         side("doc", F.col("at") + F.col("shift")),
         lambda x, b: F.struct(x["a"].alias("a"), x["t"].alias("t"), b.alias("b")),
     )
-    pairs = F.array_distinct(
-        F.transform(F.filter(zipped, lambda z: _is_slot(z["t"]) & (F.col("reading") != PLAIN)), lambda z: F.struct(z["a"].alias("a"), z["b"].alias("b")))
-    )
-    judged = held.withColumn("pairs", pairs).withColumn(
-        "consistent", F.size(F.array_distinct(F.transform("pairs", lambda p: p["a"]))) == F.size("pairs")
-    )
-    found = judged.filter("consistent").select(
+    pairs = F.array_distinct(F.filter(zipped, lambda z: _is_slot(z["t"]) & (F.col("reading") != PLAIN)))
+    words = lambda c: F.split(c, " ")
+    alike = lambda p: F.size(words(p["a"])) == F.size(words(p["b"]))
+    word_by_word = lambda p: F.when(
+        alike(p), F.zip_with(words(p["a"]), words(p["b"]), lambda a, b: F.struct(F.ltrim(a, F.lit(NAME_MARK)).alias("a"), F.ltrim(b, F.lit(NAME_MARK)).alias("b")))
+    ).otherwise(F.array(F.struct(p["a"], p["b"])))
+    bound = F.array_distinct(F.flatten(F.transform(F.filter("pairs", lambda p: p["t"] != "0"), word_by_word)))
+    judged = held.withColumn("pairs", pairs).withColumn("bound", bound)
+    consistent = F.size(F.array_distinct(F.transform("bound", lambda p: p["a"]))) == F.size("bound")
+    found = judged.filter(consistent).select(
         "doc_id",
         "item_id",
         "text_key",
         F.struct(
             (-F.col("reading")).alias("reading"),
-            F.col("windows"),
+            F.size("ats").cast("long").alias("windows"),
             (-F.col("shift")).alias("order"),
             F.col("at"),
-            n.alias("tokens"),
-            F.round(F.col("windows") / F.col("n_windows"), 6).alias("coverage"),
+            F.col("n").alias("tokens"),
+            F.round(F.size("ats") / F.col("n_windows"), 6).alias("coverage"),
             F.size("pairs").alias("slots"),
             F.forall("pairs", lambda p: p["a"].eqNullSafe(p["b"])).alias("verbatim"),
         ).alias("best"),
@@ -197,5 +288,4 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "tex
     """The documents that hold no benchmark item, all columns as they are."""
     bad = contaminated(docs.select(F.lit(None).cast("long").alias("doc_id"), F.col(text).alias("text")), benchmark, **options)
     bad = cut(bad.select(F.col("text_key").alias("_lockweir_key")).distinct())
-    key = F.xxhash64(F.coalesce(docs[text], F.lit("")))
-    return docs.join(bad, key == bad["_lockweir_key"], "left_anti")
+    return docs.join(bad, text_key(docs[text]) == bad["_lockweir_key"], "left_anti")

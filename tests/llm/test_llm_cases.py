@@ -223,10 +223,10 @@ def test_reparameterised_questions(spark):
     df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("item_id", F.lit("x")).withColumn("hash", F.lit("x"))
     bench = spark.createDataFrame(items + items[:1], "item_id long, text string").withColumn("at", F.lit("x"))
     out = {(r.doc_id, r.item_id): r for r in decontamination.contaminated(df, bench).collect()}
-    assert set(out) == {(1, 1), (3, 1), (None, 1), (7, 2)}
+    assert set(out) == {(1, 1), (3, 1), (None, 1), (7, 2), (8, 1)}
     assert out[3, 1].verbatim and not out[1, 1].verbatim and out[1, 1].slots >= 5
     kept = decontamination.without_contaminated(df, bench)
-    assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == [2, 4, 5, 6, 8]
+    assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == [2, 4, 5, 6]
     assert decontamination.contaminated(df.limit(0), bench).count() == 0
     assert decontamination.contaminated(df, bench.limit(0)).count() == 0
 
