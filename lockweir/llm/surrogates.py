@@ -46,9 +46,11 @@ _GIVEN = "|".join(n for names in NAMES for n in names.known.split())
 _SURNAME = r"\p{Lu}\p{Ll}+(?:-\p{Lu}\p{Ll}+)?"
 _NAME = rf"(?<!\p{{L}})(?:{_GIVEN})(?: {_SURNAME})?(?!\p{{L}})"
 FORMS = {
-    "EMAIL": r"[\p{L}\p{N}._%+-]+@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)+",
+    # Bounded and possessive: a long run without a blank is read once, and loops need no stack. What stands
+    # before the @ has 256 characters at most, and of a longer domain the first twelve labels are taken.
+    "EMAIL": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,256}+@[\p{L}\p{N}-]{1,63}+(?:\.[\p{L}\p{N}-]{1,63}+){1,12}+",
     "TOKEN": r"(?<![\p{L}\p{N}])[0-9A-Fa-f]{32,128}(?![\p{L}\p{N}])",
-    "ACCESS_KEY": r"(?<![\p{L}\p{N}])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|sk-[A-Za-z0-9]{20,})(?![\p{L}\p{N}])",
+    "ACCESS_KEY": r"(?<![\p{L}\p{N}])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}+|sk-[A-Za-z0-9]{20,}+)(?![\p{L}\p{N}])",
     "IBAN": r"(?<![\p{L}\p{N}])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
     "IP": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9])",
     "CARD": r"(?<![\p{L}\p{N}])[0-9]{4}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7}(?![\p{L}\p{N}])",
