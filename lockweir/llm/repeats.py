@@ -10,7 +10,7 @@ What is left are distinct phrases that share a trigger. Their windows are put in
 arrays: the parse order, phrases sorted by what follows the trigger with the common prefixes of neighbours, and
 the dictionary order, phrases put into classes by what precedes it. Two windows are equal if their phrases are
 in one class up to the window's start and in one run of the parse order up to its end (``first_windows``).
-Shards of a trigger are ordered by themselves, and their windows merged by the string.
+The phrases of a trigger that has very many are ordered in shares, whose earliest windows are merged by their strings.
 
 Triggers that occur once need nothing of this. They are found first: each block of texts sends its triggers' hashes as
 compact sorted filters, cut at the same ranges, and is told which of them occur elsewhere or again. The blocks
@@ -36,6 +36,7 @@ _STRETCH = 1 << 20
 _BLOCK_BYTES = 4 << 20
 _RANGE_BYTES = 1 << 24
 _MOST_CUTS = 16
+_SHARE = 4096
 _LAST = (1 << 63) - 1
 
 
@@ -279,38 +280,70 @@ def without_repeats(docs: DataFrame, length: int = 100, key: str = "doc_id", tex
     asked = rivals.withColumnRenamed("block", "of").withColumn("block", F.col("of")).select(*_RIVAL, "of")
     kinds = ", ".join(f"{c} long" for c in _RIVAL)
     bodies = blocks.groupBy("block").cogroup(asked.groupBy("of")).applyInArrow(spelt, f"{kinds}, body binary")
-    share = F.pmod(F.xxhash64("doc", "slot", "at"), F.ceil(F.col("count") / 4096))
+    share = F.pmod(F.xxhash64("doc", "slot", "at"), F.ceil(F.col("count") / _SHARE))
     bodies = bodies.withColumn("share", share).repartition("g", "share").sortWithinPartitions("g", "share")
 
-    def ordered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def compared(rows: pa.Table) -> pa.Table:
+        """Runs of windows that repeat among ``rows``; where a trigger has other shares, its earliest windows and their hashes."""
         import xxhash
 
+        n = rows.num_rows
+        get = {c: rows.column(c).to_numpy() for c in _RIVAL}
+        listed = rows.column("body").to_pylist()
+        most, least = get["most"], get["least"]
+        before, after = np.zeros((n, int(most.max())), np.uint8), np.zeros((n, length), np.uint8)
+        for i, (body, ahead) in enumerate(zip(listed, most.tolist())):
+            row = np.frombuffer(body, np.uint8)
+            before[i, :ahead] = row[:ahead][::-1]
+            after[i, : len(row) - ahead] = row[ahead : ahead + length]
+        by_place = np.lexsort([get[c] for c in ("at", "slot", "block", "hash", "doc")])
+        rank = np.empty(n, np.int64)
+        rank[by_place] = np.arange(n)
+        step = np.arange(int(most.max()) + 1)
+        again = (least[:, None] <= step) & (step <= most[:, None])
+        alone = get["count"] <= _SHARE
+        firsts = []
+        for ahead, at in first_windows(get["g"], before, after, least, most, rank):
+            again[at, ahead] = False
+            at = at[~alone[at]]
+            firsts.append((at, np.full(len(at), ahead)))
+        again[~alone] = False
+        turns = np.diff(np.pad(again, ((0, 0), (1, 1))).astype(np.int8), axis=1)
+        (at, low), (_, high) = np.nonzero(turns == 1), np.nonzero(turns == -1)
+        other, ahead = (np.concatenate(c) for c in zip(*firsts))
+        digest = [xxhash.xxh3_128_intdigest(listed[i][a : a + length]) for i, a in zip(other.tolist(), (most[other] - ahead).tolist())]
+        both = np.concatenate([at, other])
+        columns = {c: get[c][both] for c in ("doc", "hash", "block", "slot", "at")}
+        columns |= {"most": np.concatenate([high - 1, ahead]), "least": np.concatenate([low, ahead])}
+        none = [None] * len(at)
+        columns |= {"h1": none + [_signed(d >> 64) for d in digest], "h2": none + [_signed(d & (1 << 64) - 1) for d in digest]}
+        return pa.table([pa.array(columns[c], pa.int64()) for c in _COMPARED], names=_COMPARED)
+
+    def ordered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        size = 0
         for batch in batches:
-            n = batch.num_rows
-            if not n:
+            held.append(batch)
+            size += batch.num_rows
+            if size < 2 * _SHARE:
                 continue
-            get = {c: batch.column(c).to_numpy() for c in _RIVAL}
-            listed = batch.column("body").to_pylist()
-            most, least = get["most"], get["least"]
-            before, after = np.zeros((n, int(most.max())), np.uint8), np.zeros((n, length), np.uint8)
-            for i, (body, ahead) in enumerate(zip(listed, most.tolist())):
-                row = np.frombuffer(body, np.uint8)
-                before[i, :ahead] = row[:ahead][::-1]
-                after[i, : len(row) - ahead] = row[ahead : ahead + length]
-            by_place = np.lexsort([get[c] for c in ("at", "slot", "block", "hash", "doc")])
-            rank = np.empty(n, np.int64)
-            rank[by_place] = np.arange(n)
-            for ahead, rows in first_windows(get["g"], before, after, least, most, rank):
-                digest = [xxhash.xxh3_128_intdigest(listed[i][(a := int(most[i]) - ahead) : a + length]) for i in rows.tolist()]
-                columns = [[_signed(d >> 64) for d in digest], [_signed(d & (1 << 64) - 1) for d in digest]]
-                columns += [get[c][rows] for c in ("doc", "hash", "block", "slot")] + [get["at"][rows] - ahead]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=_WINDOW)
-
-    windows = bodies.mapInArrow(ordered, ", ".join(f"{c} long" for c in _WINDOW))
-    kept = windows.groupBy("h1", "h2").agg(F.min(F.struct("doc", "hash", "block", "slot", "at")).alias("p"))
+            rows = pa.Table.from_batches(held).combine_chunks()
+            g, share = rows.column("g").to_numpy(), rows.column("share").to_numpy()
+            whole = int(np.flatnonzero((g != g[-1]) | (share != share[-1]))[-1]) + 1 if (g[0], share[0]) != (g[-1], share[-1]) else 0
+            if whole:
+                yield from compared(rows.slice(0, whole)).to_batches()
+            held, size = rows.slice(whole).to_batches(), size - whole
+        if size:
+            yield from compared(pa.Table.from_batches(held)).to_batches()
+
+    told = cut(bodies.mapInArrow(ordered, ", ".join(f"{c} long" for c in _COMPARED)))
+    start = F.struct("doc", "hash", "block", "slot", (F.col("at") - F.col("most")).alias("at"))
+    kept = told.filter("h1 IS NOT NULL").groupBy("h1", "h2").agg(F.min(start).alias("p"))
     nothing = F.lit(0).cast("long")
+    mark = ("block", "slot", "at", "most", "least")
     marks = (
-        later.unionByName(rivals.select("block", "slot", "at", "most", "least", F.lit(1).alias("kind")))
+        later.unionByName(told.filter("h1 IS NULL").select(*mark, F.lit(0).alias("kind")))
+        .unionByName(rivals.filter(F.col("count") > _SHARE).select(*mark, F.lit(1).alias("kind")))
         .unionByName(kept.select("p.block", "p.slot", "p.at", nothing.alias("most"), nothing.alias("least"), F.lit(2).alias("kind")))
         .withColumnRenamed("block", "of")
     )
@@ -352,4 +385,4 @@ def without_repeats(docs: DataFrame, length: int = 100, key: str = "doc_id", tex
 
 _OCCURRENCE = ["g", "h1", "h2", "doc", "hash", "block", "slot", "at", "most", "least"]
 _RIVAL = ["g", "count", "most", "least", "doc", "hash", "block", "slot", "at"]
-_WINDOW = ["h1", "h2", "doc", "hash", "block", "slot", "at"]
+_COMPARED = ["h1", "h2", "doc", "hash", "block", "slot", "at", "most", "least"]

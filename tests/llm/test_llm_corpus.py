@@ -142,6 +142,8 @@ def test_repeats_against_brute_force(spark, monkeypatch):
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
     assert sorted(map(tuple, repeats.without_repeats(df).collect())) == sorted(brute.repeats(docs))
     assert sorted(map(tuple, repeats.without_repeats(df, length=40).collect())) == sorted(brute.repeats(docs, 40))
+    monkeypatch.setattr(repeats, "_SHARE", 7)
+    assert sorted(map(tuple, repeats.without_repeats(df).collect())) == sorted(brute.repeats(docs))
 
 
 def test_repeats_of_odd_tables(odd):
