@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut
 
-_BLOCK_BYTES = 24 << 20
+_BLOCK_BYTES = 8 << 20
 _RANGE_TOKENS = 1 << 20
 _MOST_RANGES = 16
 _ODD = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9)
