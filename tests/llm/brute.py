@@ -127,3 +127,27 @@ def repeats(docs, length=100):
         kept = bytes(c for c, g in zip(data, gone) if not g)
         out.append((d, len(data), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
     return out
+
+
+def near_copies(docs, similarity=0.8, words=5):
+    """Smallest id reachable by links of a Jaccard similarity of word shingles."""
+    def shingles(text):
+        parts = (text or "").encode().lower().split()
+        return frozenset(tuple(parts[i : i + words]) for i in range(max(1, len(parts) - words + 1)))
+
+    ids = sorted(docs)
+    sets = {i: shingles(docs[i]) for i in ids}
+    root = {i: i for i in ids}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for k, i in enumerate(ids):
+        for j in ids[k + 1 :]:
+            a, b = sets[i], sets[j]
+            if len(a & b) >= similarity * len(a | b) and find(i) != find(j):
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    return {i: find(i) for i in ids}

@@ -131,7 +131,7 @@ def test_pipeline(spark, documents):
             assert docs.columns == columns
             kept[name] = {d: r.text for d, r in after.items()}
         if name == "simhash_near_dedup":
-            roots = brute.components({d: brute.simhash(t) for d, t in before.items()})
+            roots = brute.near_copies(before)
             assert set(after) == {d for d in before if roots[d] == d}
         if name == "benchmark_decontamination":
             items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
