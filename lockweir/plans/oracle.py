@@ -630,29 +630,52 @@ SELECT h.webhook_id, h.url, b.event, b.event_id, b."timestamp", b.payload, sha25
   'application/json' AS content_type FROM bodies b JOIN signers h ON h.event = b.event AND h.is_active""")
 
 # ---------------------------------------------------------------- replay and streams
-_view("replay_in", ["requests", "doc_spans", "rated", "best"], """
-SELECT r.user_id, r.id, r.request_timestamp, r.cost_usd, NOT a.allowed AS limited,
+_DAY_US = 86_400_000_000
+_view("replay_in", ["requests", "doc_spans", "rated"], """
+SELECT r.user_id, r.id, r.request_timestamp, epoch_us(r.request_timestamp) AS us, r.cost_usd, NOT a.allowed AS limited,
   EXISTS (SELECT 1 FROM doc_spans s WHERE s.doc_id = r.id AND s.type IN ('TCKN','CREDIT_CARD','IBAN'))
    OR r.total_tokens > 10000 OR r.cost_usd > 0.10::DOUBLE AS blocked,
   EXISTS (SELECT 1 FROM documents o WHERE o.doc_id = r.id + 1) AND (r.id % 11 = 0
     OR EXISTS (SELECT 1 FROM doc_spans s WHERE s.doc_id = r.id + 1 AND s.type IN ('TCKN','CREDIT_CARD','IBAN'))
     OR (EXISTS (SELECT 1 FROM doc_spans s WHERE s.doc_id = r.id + 1) AND (r.total_tokens > 10000 OR r.cost_usd > 0.10::DOUBLE))) AS out_blocked,
-  coalesce(b.similarity >= 0.35, false) AS hit, coalesce(""" + _WORDS.format(c="d.text") + """, 0) AS words
-FROM requests r JOIN rated a USING (id) LEFT JOIN best b ON b.query_id = r.id LEFT JOIN documents d ON d.doc_id = r.id""")
+  coalesce(""" + _WORDS.format(c="d.text") + """, 0) AS words
+FROM requests r JOIN rated a USING (id) LEFT JOIN documents d ON d.doc_id = r.id""")
 _view("replay_rows", ["replay_in", "budgets"], """
-SELECT *, row_number() OVER (PARTITION BY user_id, period_start ORDER BY request_timestamp, id) AS k FROM (
- SELECT r.user_id, r.id, r.request_timestamp, CAST(date_trunc(CASE coalesce(b.period, 'monthly') WHEN 'daily' THEN 'day' WHEN 'weekly' THEN 'week' ELSE 'month' END, r.request_timestamp) AS TIMESTAMP) AS period_start,
+SELECT *, row_number() OVER (ORDER BY us, id) AS k, dense_rank() OVER (ORDER BY user_id, period_start) AS purse FROM (
+ SELECT r.user_id, r.id, r.us, r.id % 500 AS vec, CAST(date_trunc(CASE coalesce(b.period, 'monthly') WHEN 'daily' THEN 'day' WHEN 'weekly' THEN 'week' ELSE 'month' END, r.request_timestamp) AS TIMESTAMP) AS period_start,
   CAST(round(CASE WHEN r.out_blocked THEN 0 ELSE r.cost_usd END * 1e10::DOUBLE) AS BIGINT) AS units, CAST(round(words * 1.3::DOUBLE * 0.000002::DOUBLE * 1e10::DOUBLE) AS BIGINT) AS est,
   CAST(round(coalesce(b.limit_usd, 1000::DOUBLE) * 1e10::DOUBLE) AS BIGINT) AS lim
- FROM replay_in r LEFT JOIN budgets b USING (user_id) WHERE NOT limited AND NOT blocked AND NOT hit) t""")
-_view("replay_fold", ["replay_rows"], _BUDGET_FOLD.format(src="replay_rows", fold="replay_fold"))
-_query("x2", ["replay_fold"], """
-SELECT r.id, r.user_id, r.request_timestamp,
-  CASE WHEN limited THEN 'failed' WHEN blocked THEN 'blocked' WHEN NOT coalesce(f.allowed, true) THEN 'budget_exceeded' WHEN out_blocked AND NOT hit THEN 'blocked' ELSE 'completed' END AS status,
-  CASE WHEN limited THEN 'rate_limit' WHEN blocked THEN 'guardrail' WHEN NOT coalesce(f.allowed, true) THEN 'budget' WHEN out_blocked AND NOT hit THEN 'output_guardrail' END AS failure_reason,
-  NOT limited AND NOT blocked AND hit AS cache_hit,
-  round(CASE WHEN NOT limited AND NOT blocked AND NOT hit AND NOT out_blocked AND coalesce(f.allowed, true) THEN r.cost_usd ELSE 0 END, 9) AS cost_usd
-FROM replay_in r LEFT JOIN replay_fold f USING (id)""")
+ FROM replay_in r LEFT JOIN budgets b USING (user_id) WHERE NOT limited AND NOT blocked) t""")
+_view("alike", ["entries"], """
+SELECT * FROM (SELECT a.vec_id AS a, b.vec_id AS b, list_dot_product(a.embedding, b.embedding) / (sqrt(list_dot_product(a.embedding, a.embedding)) * sqrt(list_dot_product(b.embedding, b.embedding))) AS similarity
+ FROM entries a JOIN entries b ON a.vec_id < 500) t WHERE similarity >= 0.35""")
+_view("replay_near", ["replay_rows", "alike", "entries"], f"""
+SELECT q.k, q.id, q.us, q.purse, q.units, q.est, q.lim, coalesce(n.near, []) AS near FROM replay_rows q LEFT JOIN (
+ SELECT k, list({{'similarity': similarity, 'us': us, 'name': name, 'id': id}}) AS near FROM (
+  SELECT q.k, s.similarity, p.us + 1 AS us, 'r' || p.id AS name, p.id FROM replay_rows q JOIN alike s ON s.a = q.vec
+   JOIN replay_rows p ON p.vec = s.b AND p.us + 1 <= q.us AND q.us < p.us + 1 + {_DAY_US}
+  UNION ALL SELECT q.k, s.similarity, epoch_us(e.created_at), 'g' || e.vec_id, NULL FROM replay_rows q JOIN alike s ON s.a = q.vec
+   JOIN entries e ON e.vec_id = s.b AND epoch_us(e.created_at) <= q.us AND q.us < epoch_us(e.created_at) + {_DAY_US}) m GROUP BY k) n USING (k)""")
+# One request after the other: what is cached (for a day) and what each purse has spent go along.
+_view("replay_walk", ["replay_near"], f"""
+SELECT 0::BIGINT AS k, NULL::BIGINT AS id, NULL::STRUCT(similarity DOUBLE, us BIGINT, name VARCHAR, id BIGINT) AS source, false AS admitted,
+  []::STRUCT(id BIGINT, us BIGINT)[] AS cached, (SELECT list_transform(range(max(purse)), lambda x: 0::BIGINT) FROM replay_near) AS spent
+UNION ALL
+SELECT k, id, source, admitted,
+  CASE WHEN source IS NULL AND admitted THEN list_append(list_filter(cached, lambda c: c.us + {_DAY_US} > now), {{'id': id, 'us': now + 1}}) ELSE cached END,
+  CASE WHEN source IS NULL AND admitted THEN list_concat(list_append(spent[1:purse - 1], spent[purse] + units), spent[purse + 1:]) ELSE spent END
+FROM (SELECT n.k, n.id, n.us AS now, n.purse, n.units, w.cached, w.spent, w.spent[n.purse] + n.est <= n.lim AS admitted,
+   list_max(list_filter(n.near, lambda e: e.id IS NULL OR list_contains(list_transform(w.cached, lambda c: c.id), e.id))) AS source
+  FROM replay_walk w JOIN replay_near n ON n.k = w.k + 1) t""")
+_query("x2", ["replay_walk", "replay_in"], """
+SELECT id, user_id, request_timestamp,
+  CASE reason WHEN 'rate_limit' THEN 'failed' WHEN 'budget' THEN 'budget_exceeded' WHEN 'guardrail' THEN 'blocked' WHEN 'output_guardrail' THEN 'blocked' ELSE 'completed' END AS status,
+  reason AS failure_reason, reason IS NULL AND hit AS cache_hit, CASE WHEN reason IS NULL AND hit THEN CAST(substr(source.name, 2) AS BIGINT) END AS cached_from,
+  round(CASE WHEN reason IS NULL AND NOT hit THEN cost_usd ELSE 0 END, 9) AS cost_usd
+FROM (SELECT r.id, r.user_id, r.request_timestamp, r.cost_usd, w.source, w.source IS NOT NULL AS hit,
+  CASE WHEN r.limited THEN 'rate_limit' WHEN r.blocked THEN 'guardrail' WHEN w.source IS NULL AND NOT w.admitted THEN 'budget'
+    WHEN CASE WHEN w.source IS NULL THEN r.out_blocked ELSE coalesce(o.out_blocked, false) END THEN 'output_guardrail' END AS reason
+  FROM replay_in r LEFT JOIN replay_walk w ON w.id = r.id LEFT JOIN replay_in o ON o.id = w.source.id) t""")
 _query("x3_sliding", ["requests"], """
 SELECT CAST(w AS TIMESTAMP) AS window_start, CAST(w + INTERVAL 1 HOUR AS TIMESTAMP) AS window_end, count(*) AS total_requests,
   CAST(sum(total_tokens) AS BIGINT) AS total_tokens

@@ -908,8 +908,13 @@ def _(spark, d):
     replies = docs.select((F.col("id") - 1).alias("id"), F.col("text").alias("reply"))
     rows = tiered(requests(spark, d)).join(docs, "id", "left").join(replies, "id", "left")
     rows = rows.withColumn("completion", F.concat("reply", card)).drop("reply")
-    hits = cache.cache_lookup(*lookup_sides(spark, d), threshold=0.35)
-    return replay_plan.replay(rows, tight(spark), hits, derived.budgets(spark, d))
+    # Every request asks with one of the first 500 vectors; the cache also receives the given entries.
+    vectors = entries(spark, d).select(F.col("vec_id").alias("vec"), "embedding")
+    rows = rows.withColumn("vec", F.col("id") % 500).join(vectors, "vec", "left").drop("vec")
+    _, stored = lookup_sides(spark, d)
+    return replay_plan.replay(
+        rows, tight(spark), derived.budgets(spark, d), stored, threshold=0.35, ttl=86_400
+    )
 
 
 def event_stream(spark, d, slices: int = 4):
