@@ -329,7 +329,7 @@ SELECT a.conv_id, a.turn, a.n AS in_violations, CAST(CASE WHEN b.pii THEN b.n EL
 FROM turn_flags a LEFT JOIN turn_flags b ON b.conv_id = a.conv_id AND b.turn = a.turn + 1 AND b.role = 'assistant' WHERE a.role = 'user'""")
 _view("planes", [], """
 SELECT b.band, list(CASE WHEN ascii(md5('7:' || b.band || ':' || p.bit || ':' || d.dim)) % 2 = 0 THEN 1.0 ELSE -1.0 END ORDER BY d.dim) AS plane, p.bit
-FROM range(8) b(band), range(6) p(bit), range(64) d(dim) GROUP BY b.band, p.bit""")
+FROM range(20) b(band), range(4) p(bit), range(64) d(dim) GROUP BY b.band, p.bit""")
 _view("codes", ["planes"], """
 SELECT e.vec_id, p.band, CAST(sum(CASE WHEN list_sum(list_transform(list_zip(e.embedding, p.plane), lambda z: z[1] * z[2])) > 0
   THEN 1 << p.bit ELSE 0 END) AS BIGINT) AS code FROM embeddings e, planes p GROUP BY e.vec_id, p.band""")

@@ -770,7 +770,7 @@ def _(spark, d):
 
 @query("c5")
 def _(spark, d):
-    return cache.cache_lookup_lsh(*lookup_sides(spark, d), dim=64, threshold=0.35, bands=8, bits=6)
+    return cache.cache_lookup_lsh(*lookup_sides(spark, d), dim=64, threshold=0.35, bits=4, recall=0.95)
 
 
 @query("c6")
