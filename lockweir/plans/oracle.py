@@ -513,6 +513,9 @@ SELECT t.user_id, t.id, t.request_timestamp, f.outcome = 0 AS allowed, CASE f.ou
 FROM tight_tier t JOIN rate_fold f USING (user_id, k)""")
 _query("w2", ["rated"], "SELECT * FROM rated")
 _query("x4", ["rated"], "SELECT user_id, id, allowed, limited_by FROM rated")
+_query("x4_late", ["raw_requests"], """
+SELECT user_id, id FROM raw_requests WHERE id % 7 = 0
+ AND epoch_us(request_timestamp) < (SELECT max(epoch_ms(request_timestamp)) - 3600000 FROM raw_requests WHERE id % 7 <> 0) * 1000""")
 _query("w3", ["raw_requests"], """
 SELECT id, CASE id % 3 WHEN 0 THEN 'premium' WHEN 1 THEN 'gold' END AS tier, CAST(CASE WHEN id % 3 = 0 THEN 300 ELSE 60 END AS INT) AS per_minute,
   CAST(CASE WHEN id % 3 = 0 THEN 10000 ELSE 1000 END AS INT) AS per_hour FROM raw_requests""")

@@ -933,9 +933,12 @@ def event_stream(spark, d, slices: int = 4):
     return derived.as_requests(stream)
 
 
-def run_stream(spark, stream: DataFrame, mode: str) -> DataFrame:
-    """Run a stream over what is there and return its rows, with the batch each came from."""
-    base = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+def run_stream(spark, stream: DataFrame, mode: str, base: str | None = None) -> DataFrame:
+    """Run a stream over what is there and return its rows, with the batch each came from.
+
+    With the folder of an earlier run it goes on from that run's checkpoint.
+    """
+    base = base or f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
     (
         stream.writeStream.outputMode(mode)
         .foreachBatch(lambda df, batch: queue.write_batch(df, f"{base}/rows", batch))
@@ -965,7 +968,19 @@ def _(spark, d):
 @query("x4")
 def _(spark, d):
     rows = run_stream(spark, limiter.limit_stream(tiered(event_stream(spark, d)), tight(spark)), "append")
-    return rows.select("user_id", "id", "allowed", "limited_by")
+    return limiter.decisions(rows).select("user_id", "id", "allowed", "limited_by")
+
+
+@query("x4_late")
+def _(spark, d):
+    """Every seventh event arrives after all others; the query is started again for them, from its checkpoint."""
+    events, base = derived.table(spark, d, "events"), f"{shared_dir(spark)}/late-{uuid.uuid4().hex}"
+    seventh = F.col("event_id") % 7 == 0
+    for part in (~seventh, seventh):
+        events.filter(part).write.mode("append").parquet(f"{base}/in")
+        stream = derived.as_requests(spark.readStream.schema(events.schema).parquet(f"{base}/in"))
+        rows = run_stream(spark, limiter.limit_stream(tiered(stream), tight(spark)), "append", base)
+    return limiter.late_requests(rows).select("user_id", "id")
 
 
 @query("x5")
