@@ -1,4 +1,4 @@
-"""What a deployment sets: the secret of the surrogates and the files of public tokenizers."""
+"""What a deployment sets: the secret of the surrogates, the size of Arrow batches, the files of public tokenizers."""
 
 from __future__ import annotations
 
@@ -10,6 +10,11 @@ def surrogate_key(spark: SparkSession) -> str:
     return spark.conf.get("lockweir.surrogate.key", "lockweir public test key")
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Bound what goes to a Python worker at a time by bytes: ten thousand whole texts can be of any size."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", spark.conf.get("lockweir.arrow.batch.bytes", "4m"))
+
+
 def _public(name: str) -> str:
     import public_tokenizers
 
