@@ -19,7 +19,7 @@ from typing import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut
@@ -229,23 +229,37 @@ def copy_keys(shingles: set[bytes]) -> np.ndarray:
 
 
 def _with_copy_keys(texts: DataFrame, words: int) -> DataFrame:
-    """``node, n, keys`` of each ``(node, text)``, ``n`` being the number of shingles."""
+    """``node, n, fp, keys`` of each ``(node, text)``, ``n`` being the number of shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, keys = [], []
+            sizes, fps, keys = [], [], []
             for t in batch.column(1):
-                shingles = shingle_set(t.as_py().encode(), words)
+                body = t.as_py().encode()
+                shingles = shingle_set(body, words)
                 sizes.append(len(shingles))
+                fps.append(fingerprint(body, words))
                 keys.append(copy_keys(shingles))
             flat = pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64))
             offsets = pa.array(np.arange(len(keys) + 1, dtype=np.int32) * _BANDS)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(offsets, flat)],
-                names=["node", "n", "keys"],
+                [
+                    batch.column(0), pa.array(sizes, pa.int64()), pa.array(np.array(fps, np.uint64).view(np.int64)),
+                    pa.ListArray.from_arrays(offsets, flat),
+                ],
+                names=["node", "n", "fp", "keys"],
             )
 
-    return texts.mapInArrow(run, "node long, n long, keys array<long>")
+    return texts.mapInArrow(run, "node long, n long, fp long, keys array<long>")
+
+
+def _close_fingerprints(nodes: DataFrame) -> DataFrame:
+    """Pairs ``(a, b)`` of nodes by their fingerprints ``fp``: equal ones as a star, and links of at most two bits."""
+    first = cut(nodes.groupBy("fp").agg(F.min("node").alias("first")))
+    equal = nodes.join(first, "fp").filter("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b"))
+    side = lambda fp, c: first.select(F.col("fp").alias(fp), F.col("first").alias(c))
+    linked = links(first.select("fp")).toDF("fp_a", "fp_b").join(side("fp_a", "a"), "fp_a").join(side("fp_b", "b"), "fp_b")
+    return equal.unionByName(linked.select("a", "b"))
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, similarity: float, words: int) -> DataFrame:
@@ -271,16 +285,82 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float, words: int)
     return cut(joined.mapInArrow(run, "a long, b long"))
 
 
+def _pairs_by_difference(members: DataFrame, texts: DataFrame, similarity: float, words: int) -> DataFrame:
+    """Pairs ``(a, b)`` that may be near, among the ``node`` (with ``n``, ``root``) that have met the same ``first``.
+
+    Let r be the shingles that most members have, D(x) what differs between x and r, and with
+    c = (1 - similarity) / (1 + similarity) let slack(x) = c * |x| - |D(x)|. Two members are near if and only if D(x) and D(y)
+    share at least -(slack(x) + slack(y)) / 2 shingles. If that is not above zero, both are near the member
+    of the largest slack s as well: a star tells those. Else they share a shingle of D among the rarest ones, as
+    many as the least overlap leaves (a prefix filter). One of the two, x, has slack(x) + s < 0 then, so the overlap
+    is above (s - slack(y)) / 2, which leaves y ``half`` of its own; x meets those that the star reaches with ``most``,
+    by an overlap of at least -(slack(x) + s) / 2, and the others with its own half.
+    """
+    c = (1 - similarity) / (1 + similarity)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        for batch in batches:
+            sets = [[_as_long(xxhash.xxh64_intdigest(w, 42)) for w in shingle_set(t.as_py().encode(), words)] for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["node", "tokens"])
+
+    met = cut(members.select("first", "node", "n", "root").distinct())
+    told = texts.join(met.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
+    tokens = cut(told.mapInArrow(run, "node long, tokens array<long>"))
+    each = met.join(tokens, "node").select("first", "node", F.explode("tokens").alias("token"))
+    groups = met.groupBy("first").agg(F.count("*").alias("size"))
+    counts = cut(each.groupBy("first", "token").agg(F.count("*").alias("held")).join(groups, "first"))
+    common = counts.filter("2 * held > size")
+    whole = cut(common.groupBy("first").agg(F.collect_list("token").alias("common")))
+    added = each.join(common.select("first", "token"), ["first", "token"], "left_anti").join(counts, ["first", "token"])
+    gone = (
+        met.join(tokens, "node").join(whole, "first")
+        .select("first", "node", F.explode(F.array_except("common", "tokens")).alias("token"))
+        .join(common, ["first", "token"])
+    )
+    differ = cut(
+        added.select("first", "node", "token", "held").unionByName(gone.select("first", "node", "token", (F.col("size") - F.col("held")).alias("held")))
+    )
+    slack = cut(
+        met.join(differ.groupBy("first", "node").agg(F.count("*").alias("d")), ["first", "node"], "left")
+        .withColumn("d", F.coalesce("d", F.lit(0))).withColumn("slack", c * F.col("n") - F.col("d"))
+    )
+    best = cut(slack.groupBy("first").agg(F.max(F.struct("slack", "node")).alias("best")))
+    slack = cut(
+        slack.join(best, "first").withColumn("near", F.col("slack") + F.col("best.slack") >= -1e-6)
+        .withColumn("half", F.col("d") - F.floor((F.col("best.slack") - F.col("slack")) / 2 - 1e-6))
+        .withColumn("most", F.col("d") - F.ceil(-(F.col("best.slack") + F.col("slack")) / 2 - 1e-6) + 1)
+    )
+    star = slack.filter(F.col("near") & (F.col("node") != F.col("best.node"))).select(F.col("best.node").alias("a"), F.col("node").alias("b"))
+    rarest = Window.partitionBy("first", "node").orderBy("held", "token")
+    rare = cut(
+        differ.withColumn("rank", F.row_number().over(rarest)).filter("held > 1").join(slack.drop("best", "slack", "d"), ["first", "node"])
+        .withColumn("short", F.col("rank") <= F.col("half")).filter(F.col("short") | ~F.col("near") & (F.col("rank") <= F.col("most")))
+    )
+    other = rare.filter("short").select("first", "token", *[F.col(x).alias(f"{x}_b") for x in ("node", "n", "root", "near")])
+    return star.unionByName(
+        rare.filter("NOT near").join(other, ["first", "token"])
+        .filter((F.col("root") != F.col("root_b")) & (F.col("near_b") | F.col("short") & (F.col("node") < F.col("node_b"))))
+        .filter(F.least("n", "n_b") >= similarity * F.greatest("n", "n_b"))
+        .select(F.col("node").alias("a"), F.col("node_b").alias("b"))
+    ).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
+def _as_long(digest: int) -> int:
+    return digest - (1 << 64) if digest >> 63 else digest
+
+
 def near_copies(
-    docs: DataFrame, similarity: float = 0.8, words: int = 5, key: str = "doc_id", text: str = "text"
+    docs: DataFrame, similarity: float = 0.8, words: int = 5, key: str = "doc_id", text: str = "text", most: int = 16
 ) -> DataFrame:
     """``doc_id, component_id`` for each row, links being a Jaccard similarity of word shingles of at least 0.8.
 
-    At that similarity about ten of 64 bits of a fingerprint differ, which no useful number of
-    deletion-variant keys finds. Candidates are texts that share a key of smallest hashes; each is
-    verified on the whole texts. The first text of a key is compared with all others; then those
-    that are not yet in one component are compared in pairs. So copies of one text stay linear; a
-    large group of texts just below the similarity does not.
+    Fingerprints of these shingles that differ in at most two bits are found by deletion variants (``links``). At
+    that similarity about ten of 64 bits can differ, so texts that share a key of smallest hashes are candidates as
+    well; each candidate is verified on the whole texts. One text of a key, the one that meets most others, is
+    compared with all of it. Where some are then not in one component, they are compared in pairs if they
+    are few (``most``), else by where they differ from what most of them share (``_pairs_by_difference``).
 
     Texts without words are copies of each other. Null ids and repeated rows as in ``near_duplicates``.
     """
@@ -290,22 +370,27 @@ def near_copies(
     nodes = cut(_with_copy_keys(texts, words).dropDuplicates(["node"]))
     keyed = nodes.select("node", "n", F.explode("keys").alias("key"))
     alike = lambda m, n: F.least(m, n) >= similarity * F.greatest(m, n)
-    drawn = F.struct(F.xxhash64("key", "node").alias("draw"), "node", "n")  # another first text for each key
-    first = keyed.groupBy("key").agg(F.min(drawn).alias("first"), F.count("*").alias("size"))
-    met = cut(keyed.join(cut(first.filter("size > 1")), "key"))
+    sizes = keyed.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
+    held = cut(keyed.join(cut(sizes), "key"))
+    weighed = held.join(held.groupBy("node").agg(F.sum("size").alias("weight")), "node")
+    first = weighed.groupBy("key").agg(F.max(F.struct("weight", "node", "n")).alias("first"))
+    met = cut(held.join(cut(first), "key"))
     stars = met.filter((F.col("node") != F.col("first.node")) & alike(F.col("n"), F.col("first.n")))
     ends = [F.col("first.node"), F.col("node")]
-    near = _verified(stars.select(F.least(*ends).alias("a"), F.greatest(*ends).alias("b")), texts, similarity, words)
+    pairs = stars.select(F.least(*ends).alias("a"), F.greatest(*ends).alias("b")).unionByName(_close_fingerprints(nodes))
+    near = _verified(pairs, texts, similarity, words)
     roots = cut(components(near))
     rest = cut(
-        met.filter("size > 2").select("key", "node", "n").join(roots, "node", "left")
-        .select("key", "node", "n", F.coalesce("root", "node").alias("root"))
+        met.filter("size > 2").select("key", "size", F.col("first.node").alias("first"), "node", "n").join(roots, "node", "left")
+        .select("key", "size", "first", "node", "n", F.coalesce("root", "node").alias("root"))
     )
     open_keys = rest.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
     rest = cut(rest.join(cut(open_keys.select("key")), "key", "left_semi"))
-    other = rest.select("key", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "root")])
-    across = rest.join(other, "key").filter((F.col("node") < F.col("node_b")) & (F.col("root") != F.col("root_b")))
+    few = rest.filter(F.col("size") <= most)
+    other = few.select("key", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "root")])
+    across = few.join(other, "key").filter((F.col("node") < F.col("node_b")) & (F.col("root") != F.col("root_b")))
     across = across.filter(alike(F.col("n"), F.col("n_b"))).select(F.col("node").alias("a"), F.col("node_b").alias("b"))
+    across = across.unionByName(_pairs_by_difference(rest.filter(F.col("size") > most), texts, similarity, words))
     more = _verified(across, texts, similarity, words)
     roots = components(near.unionByName(more))
     rows = own.select("doc_id", "node").join(roots, "node", "left").select("doc_id", F.coalesce("root", "node").alias("root"))
