@@ -203,6 +203,7 @@ _BANDS, _ROWS = 24, 4
 _DRAW = np.random.default_rng(42)
 _TURN = _DRAW.integers(0, 2**31, _BANDS * _ROWS, np.uint32) * np.uint32(2) + np.uint32(1)
 _ADD = _DRAW.integers(0, 2**32, _BANDS * _ROWS, np.uint32)
+_MARKS = 4
 _MIX = _DRAW.integers(0, 2**63, (_ROWS + 1, _BANDS), np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -295,6 +296,9 @@ def _pairs_by_difference(members: DataFrame, texts: DataFrame, similarity: float
     many as the least overlap leaves (a prefix filter). One of the two, x, has slack(x) + s < 0 then, so the overlap
     is above (s - slack(y)) / 2, which leaves y ``half`` of its own; x meets those that the star reaches with ``most``,
     by an overlap of at least -(slack(x) + s) / 2, and the others with its own half.
+
+    Shingles are few in 256 classes; a class whose parity differs between two texts holds a shingle that one of them lacks.
+    So texts with more such classes than near ones have differing shingles are no pair.
     """
     c = (1 - similarity) / (1 + similarity)
 
@@ -302,29 +306,42 @@ def _pairs_by_difference(members: DataFrame, texts: DataFrame, similarity: float
         import xxhash
 
         for batch in batches:
-            sets = [[_as_long(xxhash.xxh64_intdigest(w, 42)) for w in shingle_set(t.as_py().encode(), words)] for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["node", "tokens"])
+            sets, marks = [], []
+            for t in batch.column(1):
+                h = np.array([xxhash.xxh64_intdigest(w, 42) for w in shingle_set(t.as_py().encode(), words)], np.uint64)
+                sets.append(h.view(np.int64))
+                marks.append(_parities(h))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(sets, pa.list_(pa.int64())), pa.array(marks, pa.list_(pa.int64()))],
+                names=["node", "tokens", "marks"],
+            )
 
     met = cut(members.select("first", "node", "n", "root").distinct())
     told = texts.join(met.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
-    tokens = cut(told.mapInArrow(run, "node long, tokens array<long>"))
+    tokens = cut(told.mapInArrow(run, "node long, tokens array<long>, marks array<long>"))
     each = met.join(tokens, "node").select("first", "node", F.explode("tokens").alias("token"))
     groups = met.groupBy("first").agg(F.count("*").alias("size"))
-    counts = cut(each.groupBy("first", "token").agg(F.count("*").alias("held")).join(groups, "first"))
+    counts = cut(each.groupBy("first", "token").agg(F.count("*").alias("held")).filter("held > 1").join(groups, "first"))
     common = counts.filter("2 * held > size")
     whole = cut(common.groupBy("first").agg(F.collect_list("token").alias("common")))
-    added = each.join(common.select("first", "token"), ["first", "token"], "left_anti").join(counts, ["first", "token"])
-    gone = (
-        met.join(tokens, "node").join(whole, "first")
-        .select("first", "node", F.explode(F.array_except("common", "tokens")).alias("token"))
-        .join(common, ["first", "token"])
-    )
-    differ = cut(
-        added.select("first", "node", "token", "held").unionByName(gone.select("first", "node", "token", (F.col("size") - F.col("held")).alias("held")))
+    # What one member alone has or lacks meets nobody: it is counted, and only the rest becomes rows.
+    shared = counts.select(
+        "first", "token", F.when(F.expr("2 * held > size"), F.col("size") - F.col("held")).otherwise(F.col("held")).alias("held")
+    ).filter("held > 1")
+    apart = cut(
+        met.join(tokens, "node").join(whole, "first", "left")
+        .withColumn("common", F.coalesce("common", F.array().cast("array<long>")))
+        .select(
+            "first", "node", "n", "root", "marks",
+            F.concat(F.array_except("tokens", "common"), F.array_except("common", "tokens")).alias("apart"),
+        )
     )
+    differ = cut(apart.select("first", "node", F.explode("apart").alias("token")).join(shared, ["first", "token"]))
+    rows = differ.groupBy("first", "node").agg(F.count("*").alias("rows"))
     slack = cut(
-        met.join(differ.groupBy("first", "node").agg(F.count("*").alias("d")), ["first", "node"], "left")
-        .withColumn("d", F.coalesce("d", F.lit(0))).withColumn("slack", c * F.col("n") - F.col("d"))
+        apart.withColumn("d", F.size("apart").cast("long")).drop("apart").join(rows, ["first", "node"], "left")
+        .withColumn("alone", F.col("d") - F.coalesce("rows", F.lit(0))).drop("rows")
+        .withColumn("slack", c * F.col("n") - F.col("d"))
     )
     best = cut(slack.groupBy("first").agg(F.max(F.struct("slack", "node")).alias("best")))
     slack = cut(
@@ -335,20 +352,25 @@ def _pairs_by_difference(members: DataFrame, texts: DataFrame, similarity: float
     star = slack.filter(F.col("near") & (F.col("node") != F.col("best.node"))).select(F.col("best.node").alias("a"), F.col("node").alias("b"))
     rarest = Window.partitionBy("first", "node").orderBy("held", "token")
     rare = cut(
-        differ.withColumn("rank", F.row_number().over(rarest)).filter("held > 1").join(slack.drop("best", "slack", "d"), ["first", "node"])
+        differ.withColumn("rank", F.row_number().over(rarest)).join(slack.drop("best", "slack", "d"), ["first", "node"])
+        .withColumn("rank", F.col("rank") + F.col("alone"))
         .withColumn("short", F.col("rank") <= F.col("half")).filter(F.col("short") | ~F.col("near") & (F.col("rank") <= F.col("most")))
     )
-    other = rare.filter("short").select("first", "token", *[F.col(x).alias(f"{x}_b") for x in ("node", "n", "root", "near")])
+    other = rare.filter("short").select("first", "token", *[F.col(x).alias(f"{x}_b") for x in ("node", "n", "root", "near", "marks")])
+    unlike = sum(F.bit_count(F.get("marks", F.lit(i)).bitwiseXOR(F.get("marks_b", F.lit(i)))) for i in range(_MARKS))
     return star.unionByName(
         rare.filter("NOT near").join(other, ["first", "token"])
         .filter((F.col("root") != F.col("root_b")) & (F.col("near_b") | F.col("short") & (F.col("node") < F.col("node_b"))))
         .filter(F.least("n", "n_b") >= similarity * F.greatest("n", "n_b"))
+        .filter(unlike <= c * (F.col("n") + F.col("n_b")) + 1e-6)
         .select(F.col("node").alias("a"), F.col("node_b").alias("b"))
     ).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
-def _as_long(digest: int) -> int:
-    return digest - (1 << 64) if digest >> 63 else digest
+def _parities(hashes: np.ndarray) -> np.ndarray:
+    """One bit for each of 256 classes of hashes: whether their number is odd."""
+    odd = np.bincount((hashes & np.uint64(64 * _MARKS - 1)).astype(np.int64), minlength=64 * _MARKS) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").view(np.int64)
 
 
 def near_copies(
