@@ -59,4 +59,6 @@ def part(chunks: Column, start: Column, stop: Column) -> Column:
     first = F.floor(start / _TEXT_CHUNK).cast("int")
     last = F.floor(F.greatest(stop - 1, start) / _TEXT_CHUNK).cast("int")
     near = F.array_join(F.slice(chunks, first + 1, last - first + 1), "")
-    return F.substring(near, start - first * _TEXT_CHUNK + 1, stop - start)
+    return F.when(F.size(chunks) == 1, F.substring(F.get(chunks, F.lit(0)), start + 1, stop - start)).otherwise(
+        F.substring(near, start - first * _TEXT_CHUNK + 1, stop - start)
+    )

@@ -38,28 +38,40 @@ def _digits(s: Column) -> Column:
 
 def is_tckn(s: Column | str) -> Column:
     """Eleven digits, two of them check digits."""
-    s = ascii_digits(F.col(s) if isinstance(s, str) else s)
-    d = [F.substring(s, i, 1).cast("int") for i in range(1, 12)]
-    odd = d[0] + d[2] + d[4] + d[6] + d[8]
-    even = d[1] + d[3] + d[5] + d[7]
-    ok = ((odd + even + d[9]) % 10 == d[10]) & (F.pmod(odd * 7 - even, F.lit(10)) == d[9])
-    return F.when(s.rlike("^[0-9]{11}$"), ok).otherwise(F.lit(False))
+    s = F.col(s) if isinstance(s, str) else s
+
+    def checked(s: Column) -> Column:
+        d = [F.substring(s, i, 1).cast("int") for i in range(1, 12)]
+        sums = F.struct((d[0] + d[2] + d[4] + d[6] + d[8]).alias("odd"), (d[1] + d[3] + d[5] + d[7]).alias("even"), d[9].alias("tenth"))
+        ok = lambda t: ((t["odd"] + t["even"] + t["tenth"]) % 10 == d[10]) & (F.pmod(t["odd"] * 7 - t["even"], F.lit(10)) == t["tenth"])
+        return F.when(s.rlike("^[0-9]{11}$"), let(sums, ok)).otherwise(F.lit(False))
+
+    return let(ascii_digits(s), checked)
 
 
 def is_iban(s: Column | str) -> Column:
     """Mod-97 test of an account number; blanks are ignored, other separators fail."""
     s = F.col(s) if isinstance(s, str) else s
-    s = F.upper(F.translate(ascii_digits(s), " ", ""))
-    turned = F.concat(F.substring(s, F.lit(5), F.length(s)), F.substring(s, 1, 4))
-    # Fold the digits of each character into the remainder; no long number is built.
-    remainder = F.aggregate(
-        F.split(turned, ""),
-        F.lit(0),
-        lambda r, c: F.when(
-            c.between("0", "9"), (r * 10 + c.try_cast("int")) % 97
-        ).otherwise((r * 100 + F.ascii(c) - F.lit(55)) % 97),
-    )
-    return F.when(s.rlike("^[0-9A-Z]{4,}$"), remainder == 1).otherwise(F.lit(False))
+
+    def checked(s: Column) -> Column:
+        turned = F.concat(F.substring(s, F.lit(5), F.length(s)), F.substring(s, 1, 4))
+        # Fold the digits of each character into the remainder; no long number is built.
+        remainder = F.aggregate(
+            F.split(turned, ""),
+            F.lit(0),
+            lambda r, c: F.when(
+                c.between("0", "9"), (r * 10 + c.try_cast("int")) % 97
+            ).otherwise((r * 100 + F.ascii(c) - F.lit(55)) % 97),
+        )
+        # Two letters before at most 30 digits, as nearly always: the number fits a decimal of 34 digits.
+        letter = lambda i: (F.ascii(F.substring(s, i, 1)) - F.lit(55)).cast("string")
+        number = F.concat(F.substring(s, 5, 28), letter(1), letter(2), F.substring(s, 3, 2)).cast("decimal(34,0)")
+        return (
+            F.when(s.rlike(r"^[A-Z]{2}[0-9]{2,30}\z"), number % F.lit(97).cast("decimal(34,0)") == 1)
+            .when(s.rlike("^[0-9A-Z]{4,}$"), remainder == 1).otherwise(F.lit(False))
+        )
+
+    return let(F.upper(F.translate(ascii_digits(s), " ", "")), checked)
 
 
 def is_luhn(s: Column | str) -> Column:
@@ -110,7 +122,13 @@ def pattern_spans(text: Column, pattern: str, entity_type: str, valid=None, hint
     search.
     """
 
-    def spans(matches: Column) -> Column:
+    def span(match: Column, start: Column, stop: Column) -> Column:
+        return F.struct(
+            F.lit(entity_type).alias("type"), match.alias("text"), start.alias("start"), stop.alias("end"),
+            F.lit(1.0).alias("confidence"),
+        )
+
+    def several(matches: Column) -> Column:
         sizes = F.zip_with(
             F.slice(F.split(text, pattern, -1), F.lit(1), F.size(matches)),
             matches,
@@ -119,15 +137,18 @@ def pattern_spans(text: Column, pattern: str, entity_type: str, valid=None, hint
         return F.zip_with(
             matches,
             prefix(sizes, lambda a, b: a + b),
-            lambda match, stop: F.struct(
-                F.lit(entity_type).alias("type"),
-                match.alias("text"),
-                (stop - F.length(match)).alias("start"),
-                stop.alias("end"),
-                F.lit(1.0).alias("confidence"),
-            ),
+            lambda match, stop: span(match, stop - F.length(match), stop),
         )
 
+    def spans(matches: Column) -> Column:
+        # A match alone whose text the text holds once stands where that is found, without a second search by pattern.
+        def only(match: Column) -> Column:
+            at = lambda pos: F.array(span(match, pos - 1, pos - 1 + F.length(match)))
+            once = lambda pos: F.when(F.call_function("locate", match, text, pos + 1) == 0, at(pos)).otherwise(several(matches))
+            return let(F.call_function("locate", match, text, F.lit(1)), once)
+
+        return F.when(F.size(matches) == 1, let(F.get(matches, F.lit(0)), only)).otherwise(several(matches))
+
     found = let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda m: F.when(F.size(m) > 0, spans(m)).otherwise(_empty()))
     if valid is not None:
         found = F.filter(found, lambda s: valid(s["text"]))

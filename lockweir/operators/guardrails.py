@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config
+from ..functions.arrays import let
 from ..functions.formats import fixed
 from ..sources.request_log import append_batch
 from .once import once
@@ -80,10 +81,13 @@ class NoPII(Rule):
         self.entity_types = list(entity_types or [])
 
     def check(self, text, entities, tokens, cost):
-        found = of_types(entities, self.entity_types)
-        quoted = F.transform(found, lambda e: F.concat(F.lit("'"), e["type"], F.lit("'")))
-        message = F.concat(F.lit("PII detected: ["), F.array_join(quoted, ", "), F.lit("]"))
-        return self.violation(F.size(found) > 0, message, entities=found)
+        def listed(found: Column) -> Column:
+            quoted = F.transform(found, lambda e: F.concat(F.lit("'"), e["type"], F.lit("'")))
+            message = F.concat(F.lit("PII detected: ["), F.array_join(quoted, ", "), F.lit("]"))
+            told = let(message, lambda text: self.violation(F.lit(True), text, entities=found))
+            return F.when(F.size(found) > 0, told)
+
+        return let(of_types(entities, self.entity_types), listed)
 
 
 class ContentFilter(Rule):

@@ -14,6 +14,9 @@ from ..sources.dims import listed
 from .once import once
 
 
+FEW_SPANS = 16  # of so few, copying what is kept at each step costs less than to find clusters
+
+
 def detect_fast(
     text: Column | str,
     types: Iterable[str] | None = None,
@@ -94,7 +97,7 @@ def merge_spans(entities: Column | str) -> Column:
     """Overlaps resolved: stable order by start; the last kept span yields only to a more confident one.
 
     Only spans that overlap others are folded: the sorted spans fall into clusters where a span
-    starts at or after the end of all before it.
+    starts at or after the end of all before it. A few spans are folded as they are.
     """
     entities = F.col(entities) if isinstance(entities, str) else entities
     ordered = F.transform(
@@ -131,7 +134,10 @@ def merge_spans(entities: Column | str) -> Column:
         reach = prefix(F.transform(spans, lambda s: s["end"]), lambda a, b: F.greatest(a, b))
         return F.flatten(F.transform(let(reach, lambda r: clusters(spans, r)), fold))
 
-    return F.when(F.size(entities) > 1, let(ordered, resolve)).otherwise(entities)
+    few = lambda spans: F.aggregate(spans, F.array().cast(SPAN_ARRAY), step)
+    return F.when(
+        F.size(entities) > 1, let(ordered, lambda spans: F.when(F.size(spans) <= FEW_SPANS, few(spans)).otherwise(resolve(spans)))
+    ).otherwise(entities)
 
 
 def detect_detailed(df: DataFrame, ner: DataFrame, key: str, text: str = "text") -> DataFrame:
