@@ -7,23 +7,28 @@ lattice, grouped by word and folded with a higher-order aggregate: the best path
 (Viterbi) for a unigram model, or, for a BPE model, whose encoding is no best path, the merges in
 order of score on the same lattice. Both folds keep their state in a few numbers per word.
 
-Documents travel in blocks of bounded size: a block holds its distinct words and, per occurrence, a
-number. Only (block, word) rows are joined with the encoded words, not every occurrence.
+Documents are held in blocks of bounded size: a block keeps, per occurrence, the number of a word, and
+sends its distinct words away in packets, one for each part of all words. A part meets the packets of all
+blocks, encodes its distinct words, and answers each packet with one of ids. The blocks themselves are
+stored in buckets and never move; only packets do, and no (block, word) row.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from dataclasses import dataclass
+from functools import lru_cache
 from typing import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut
+from ..session import cut_in_buckets
 from .expressions import let
 
 SPACE = "▁"
@@ -32,6 +37,10 @@ _COARSE = re.compile(r"▁*[^▁]+|▁+")
 # Positions of a word are bits of a long, of which two are left free.
 LONGEST_WORD = 61
 BLOCK_CHARS = 6_000_000
+# So many words become ids at a time.
+_CHUNK = 1 << 17
+# More parts than this make packets of a few words, unless there are as many tasks.
+MOST_PARTS = 1024
 
 
 @dataclass
@@ -72,16 +81,28 @@ def _units(word: str, crossing: list[str]) -> list[str]:
 
 
 def _pack(values: np.ndarray) -> bytes:
+    """Numbers below 2^32, compressed: the lowest bytes of all, then the next ones."""
     import zstandard
 
-    return zstandard.ZstdCompressor(level=1).compress(values.astype("<u4").view("<u2").reshape(-1, 2).T.tobytes())
+    return zstandard.ZstdCompressor(level=3).compress(values.astype("<u4").view("u1").reshape(-1, 4).T.tobytes())
 
 
 def _unpack(data: bytes) -> np.ndarray:
     import zstandard
 
-    halves = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), "<u2").reshape(2, -1)
-    return np.ascontiguousarray(halves.T).view("<u4").ravel().astype(np.int64)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), "u1").reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<i4").ravel()
+
+
+def _pack_numbers(numbers: np.ndarray) -> bytes:
+    """Numbers given in order of first appearance: a first one is told as zero, any other as one more."""
+    before = np.maximum.accumulate(np.r_[np.int32(-1), numbers])[:-1]
+    return _pack(np.where(numbers > before, 0, numbers + 1))
+
+
+def _unpack_numbers(data: bytes) -> np.ndarray:
+    told = _unpack(data)
+    return np.where(told == 0, np.cumsum(told == 0, dtype=np.int32) - 1, told - 1).astype(np.int32)
 
 
 def _ragged(offsets: np.ndarray, values: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -92,54 +113,59 @@ def _ragged(offsets: np.ndarray, values: np.ndarray, rows: np.ndarray) -> tuple[
     return values[at], np.r_[0, ends]
 
 
-BLOCK_SCHEMA = "block long, keys array<long>, checks array<long>, sizes binary, codes binary, word_sizes binary, units array<string>, word_units binary"
+BLOCK_SCHEMA = (
+    "block long, keys array<long>, checks array<long>, sizes binary, codes binary, word_sizes binary, word_units binary, "
+    "unit_parts binary, packets array<string>"
+)
 
 
-def blocks(docs: DataFrame, vocabulary: Vocabulary, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Documents in blocks of about ``BLOCK_CHARS`` code points (one document at least)."""
+def blocks(docs: DataFrame, vocabulary: Vocabulary, parts: int, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Documents in blocks of about ``BLOCK_CHARS`` code points (one document at least).
+
+    Words and their units are numbered by first appearance, and no text is held once it is read. A packet has the block's number and the units of one
+    part in this order, apart by blanks, which no unit holds; it is null if there are none.
+    """
     crossing = vocabulary.crossing
 
-    def close(name, keys, texts):
-        number: dict[str, int] = {}
-        codes, sizes = [], []
-        for t in texts:
-            words = _words(t)
-            codes += [number.setdefault(w, len(number)) for w in words]
-            sizes.append(len(words))
-        codes = np.array(codes, np.int64)
-        order = np.argsort(-np.bincount(codes, minlength=len(number)), kind="stable")  # small numbers for frequent words
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
-        words = list(number)
+    def close(name, keys, checks, number, codes):
         units: dict[str, int] = {}
-        word_units, word_sizes = [], []
-        for i in order.tolist():
-            parts = [units.setdefault(u, len(units)) for u in _units(SPACE + words[i], crossing)]
-            word_units += parts
-            word_sizes.append(len(parts))
-        checks = [zlib.crc32(t.encode()) for t in texts]
-        cols = [[name], [keys], [checks], [_pack(np.array(sizes))], [_pack(rank[codes])], [_pack(np.array(word_sizes))],
-                [list(units)], [_pack(np.array(word_units))]]
-        types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary(),
-                 pa.list_(pa.string()), pa.binary()]
+        word_units, word_sizes = array("i"), array("i")
+        for w in number:
+            cut_up = _units(SPACE + w, crossing)
+            word_units.extend(units.setdefault(u, len(units)) for u in cut_up)
+            word_sizes.append(len(cut_up))
+        number.clear()
+        unit_parts = [zlib.crc32(u.encode()) % parts for u in units]
+        packets: list[list[str]] = [[] for _ in range(parts)]
+        for u, p in zip(units, unit_parts):
+            packets[p].append(u)
+        packets = [" ".join([str(name), *p]) if p else None for p in packets]
+        sizes = np.array([len(c) for c in codes])
+        codes = np.concatenate([np.array(c, np.int32) for c in codes])
+        cols = [[name], [keys], [checks], [_pack(sizes)], [_pack_numbers(codes)], [_pack(np.array(word_sizes))],
+                [_pack_numbers(np.array(word_units, np.int32))], [_pack(np.array(unit_parts))], [packets]]
+        types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), *[pa.binary()] * 5, pa.list_(pa.string())]
         names = [c.split(" ")[0] for c in BLOCK_SCHEMA.split(", ")]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        task, n = TaskContext.get().partitionId(), 0
-        keys, texts, size = [], [], 0
+        task, n, size = TaskContext.get().partitionId(), 0, 0
+        keys, checks, codes = [], [], []
+        number: dict[str, int] = {}
         for batch in batches:
             for k, t in zip(batch.column(0), batch.column(1)):
+                text = t.as_py() or ""
                 keys.append(k.as_py())
-                texts.append(t.as_py() or "")
-                size += len(texts[-1])
+                checks.append(zlib.crc32(text.encode()))
+                codes.append(array("i", [number.setdefault(w, len(number)) for w in _words(text)]))
+                size += len(text)
                 if size >= BLOCK_CHARS:
-                    yield close((task << 32) + n, keys, texts)
-                    keys, texts, size, n = [], [], 0, n + 1
+                    yield close((task << 32) + n, keys, checks, number, codes)
+                    keys, checks, codes, number, size, n = [], [], [], {}, 0, n + 1
         if keys:
-            yield close((task << 32) + n, keys, texts)
+            yield close((task << 32) + n, keys, checks, number, codes)
 
     return docs.select(F.col(key).cast("long"), text).mapInArrow(run, BLOCK_SCHEMA)
 
@@ -150,18 +176,19 @@ def lattice(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     ``cost`` is the negated score, so that edges are sorted from the best score and from the left;
     ``ends`` and ``within`` are sets of positions, one bit each: the two ends, and what lies between.
     A single character that is no piece has a null id and infinite cost. ``words`` must be distinct; Spark then keeps
-    its partitioning by word, and neither the join with the piece table (as large as the model's
-    vocabulary, hence broadcast) nor the grouping moves a row.
+    its partitioning by word, or by another column (which stays), and neither the join with the piece table (as
+    large as the model's vocabulary, hence broadcast) nor the grouping moves a row.
     """
     spark = words.sparkSession
+    kept = [c for c in words.columns if c != "word"]
     table = spark.createDataFrame(
         [(p, i, s) for p, i, s in vocabulary.pieces], "piece string, id int, score double"
     )
     length = F.length("word")
-    starts = words.select("word", F.explode(F.sequence(F.lit(0), length - 1)).alias("start"))
+    starts = words.select(*kept, "word", F.explode(F.sequence(F.lit(0), length - 1)).alias("start"))
     sizes = F.sequence(F.lit(1), F.least(F.lit(vocabulary.longest), length - F.col("start")))
-    spans = starts.select("word", "start", F.explode(sizes).alias("size")).select(
-        "word", "start", "size", F.substring("word", F.col("start") + 1, F.col("size")).alias("piece")
+    spans = starts.select(*kept, "word", "start", F.explode(sizes).alias("size")).select(
+        *kept, "word", "start", "size", F.substring("word", F.col("start") + 1, F.col("size")).alias("piece")
     )
     found = spans.join(F.broadcast(table), "piece", "left").filter("id IS NOT NULL OR size = 1")
     stop = F.col("start") + F.col("size")
@@ -170,8 +197,8 @@ def lattice(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         _bit(F.col("start")).bitwiseOR(_bit(stop)).alias("ends"), (_bit(stop) - _bit(F.col("start") + 1)).alias("within"),
     )
     # The hash comes first because rows are sorted to be grouped, and numbers sort faster than words.
-    keys = [F.xxhash64("word").alias("hash"), "word"]
-    return found.select(*keys, edge.alias("edge")).groupBy("hash", "word").agg(
+    keys = [F.xxhash64("word").alias("hash"), *kept, "word"]
+    return found.select(*keys, edge.alias("edge")).groupBy("hash", *kept, "word").agg(
         F.sort_array(F.collect_list("edge")).alias("edges")
     )
 
@@ -260,19 +287,29 @@ def with_bytes(word: Column, path: Column, vocabulary: Vocabulary) -> Column:
     return F.when(F.exists(path, lambda e: e["id"].isNull()), listed).otherwise(F.transform(path, lambda e: e["id"]))
 
 
-def encode_words(words: DataFrame, vocabulary: Vocabulary, kind: str = "bpe") -> DataFrame:
-    """``word, ids`` for each distinct ``word``.
+def _has_no_lattice() -> Column:
+    """Words of more than ``LONGEST_WORD`` code points, and runs of blanks (whose pieces tie)."""
+    return (F.length("word") > LONGEST_WORD) | F.col("word").contains(SPACE * 2)
 
-    Words of more than ``LONGEST_WORD`` code points, and runs of blanks (whose pieces tie), have no
-    lattice of bounded size; they are encoded by the model itself, one word at a time.
-    """
-    odd = (F.length("word") > LONGEST_WORD) | F.col("word").contains(SPACE * 2)
-    small = lattice(words.filter(~odd), vocabulary)
+
+def _by_lattice(words: DataFrame, vocabulary: Vocabulary, kind: str) -> DataFrame:
+    """``ids`` for each distinct ``word`` that has a lattice; other columns stay."""
+    kept = [c for c in words.columns if c != "word"]
+    small = lattice(words.filter(~_has_no_lattice()), vocabulary)
     if kind == "bpe":
         path = merged_path(F.col("word"), F.col("edges"))
     else:
         path = best_path(F.col("word"), F.col("edges"), min(s for _, _, s in vocabulary.pieces) - 10.0)
-    done = small.select("word", path.alias("path")).select("word", with_bytes(F.col("word"), F.col("path"), vocabulary).alias("ids"))
+    return small.select(*kept, "word", path.alias("path")).select(
+        *kept, "word", with_bytes(F.col("word"), F.col("path"), vocabulary).alias("ids")
+    )
+
+
+def encode_words(words: DataFrame, vocabulary: Vocabulary, kind: str = "bpe") -> DataFrame:
+    """``word, ids`` for each distinct ``word``.
+
+    Words that have no lattice of bounded size are encoded by the model itself, one word at a time.
+    """
     model = vocabulary.path
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -282,9 +319,11 @@ def encode_words(words: DataFrame, vocabulary: Vocabulary, kind: str = "bpe") ->
             ids = [encoder(w) for w in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["word", "ids"])
 
-    return done.unionByName(words.filter(odd).mapInArrow(run, "word string, ids array<int>"))
+    odd = words.select("word").filter(_has_no_lattice())
+    return _by_lattice(words.select("word"), vocabulary, kind).unionByName(odd.mapInArrow(run, "word string, ids array<int>"))
 
 
+@lru_cache(maxsize=1)
 def _word_encoder(model: str):
     """Encode a word as it stands in a text: the prefix the model would add is there already or not wanted."""
     from sentencepiece import SentencePieceProcessor
@@ -305,31 +344,77 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, kind: str = "bpe", key: str
     Null and empty texts have no ids; null keys and repeated rows come out as they are; an empty
     table gives no rows; other columns are ignored.
     """
-    packed = cut(blocks(docs, vocabulary, key, text))
     # A lattice is many times as large as its word, so its partitions are not sized by the words' bytes.
-    parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    words = packed.select(F.explode("units").alias("word")).distinct().repartition(parts, "word")
-    encoded = encode_words(words, vocabulary, kind).select("word", _as_bytes(F.col("ids")).alias("ids"))
-    # A name of its own, as both sides of the cogroup come from the same table.
-    wanted = packed.select(F.col("block").alias("of"), F.posexplode("units").alias("at", "word"))
-    entries = wanted.join(encoded, "word").select("of", "at", "ids")
-
-    def run(block: pa.Table, entries: pa.Table) -> pa.Table:
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = min(4 * tasks, max(tasks, MOST_PARTS))
+    packed = cut_in_buckets(blocks(docs, vocabulary, parts, key, text), "block", parts)
+    # The block's number stays within the packet: both uses then read the same columns of one shuffle.
+    packets = (
+        packed.select(F.posexplode("packets").alias("part", "packet")).filter("packet IS NOT NULL").repartition(parts, "part")
+    )
+    listed = F.split("packet", " ")
+    words = packets.select("part", F.explode(F.slice(listed, F.lit(2), F.size(listed))).alias("word")).distinct()
+    # A name of its own, as both sides of the cogroup come from the same rows.
+    encoded = _by_lattice(words, vocabulary, kind).select(F.col("part").alias("of"), "word", _as_bytes(F.col("ids")).alias("ids"))
+    model = vocabulary.path
+
+    def answer(packets: pa.Table, encoded: pa.Table) -> pa.Table:
+        lists = pc.split_pattern(packets.column("packet").combine_chunks(), " ")
+        flat, offsets = lists.flatten(), lists.offsets.to_numpy().astype(np.int64)
+        heads, sizes = offsets[:-1], np.diff(offsets) - 1
+        told = np.delete(np.arange(len(flat)), heads)
+        units = flat.take(pa.array(told))
+        known = encoded.column("word").combine_chunks()
+        rows = pc.index_in(units, value_set=known)
+        odd = units.filter(rows.is_null()).unique()
+        wrong = [w for w in odd.to_pylist() if len(w) <= LONGEST_WORD and SPACE * 2 not in w]
+        if wrong:
+            raise ValueError(f"words without ids: {wrong[:3]}")
+        encoder = _word_encoder(model) if len(odd) else None
+        ids = encoded.column("ids").to_pylist() + [np.array(encoder(w), ">u4").tobytes() for w in odd.to_pylist()]
+        at = np.where(
+            rows.is_null().to_numpy(zero_copy_only=False), len(known) + pc.index_in(units, value_set=odd).fill_null(0).to_numpy(),
+            rows.fill_null(0).to_numpy(),
+        )
+        values = np.frombuffer(b"".join(ids), ">u4").astype(np.int64)
+        starts = np.r_[0, np.cumsum([len(x) // 4 for x in ids])].astype(np.int64)
+        each, ends = _ragged(starts, values, at)
+        first = np.r_[0, np.cumsum(sizes)]
+        spans = [(a, b) for a, b in zip(first[:-1], first[1:])]
+        of = flat.take(pa.array(heads)).cast(pa.int64())
+        part = pa.array([packets.column("part")[0].as_py()] * len(of), pa.int32())
+        unit_sizes = pa.array([_pack(np.diff(ends[a : b + 1])) for a, b in spans], pa.binary())
+        return pa.table(
+            [of, part, unit_sizes, pa.array([_pack(each[ends[a] : ends[b]]) for a, b in spans], pa.binary())],
+            names=["of", "part", "unit_sizes", "ids"],
+        )
+
+    answers = packets.groupBy("part").cogroup(encoded.groupBy("of")).applyInArrow(
+        answer, "of long, part int, unit_sizes binary, ids binary"
+    )
+
+    def run(block: pa.Table, answers: pa.Table) -> pa.Table:
         get = lambda name: block.column(name)[0]
-        sizes, codes = _unpack(get("sizes").as_py()), _unpack(get("codes").as_py())
-        word_sizes, word_units = _unpack(get("word_sizes").as_py()), _unpack(get("word_units").as_py())
-        entries = entries.sort_by("at")
-        listed = entries.column("ids").to_pylist()
-        unit_ids = np.frombuffer(b"".join(listed), ">u4").astype(np.int64)
-        unit_offsets = np.r_[0, np.cumsum([len(x) // 4 for x in listed])].astype(np.int64)
-        per_unit, ends = _ragged(unit_offsets, unit_ids, word_units)
+        sizes, codes, word_sizes = _unpack(get("sizes").as_py()), _unpack_numbers(get("codes").as_py()), _unpack(get("word_sizes").as_py())
+        word_units, unit_parts = _unpack_numbers(get("word_units").as_py()), _unpack(get("unit_parts").as_py())
+        answers = answers.sort_by("part")
+        joined = lambda name: np.concatenate([np.zeros(0, np.int32), *[_unpack(x) for x in answers.column(name).to_pylist()]])
+        unit_sizes = joined("unit_sizes")
+        if len(unit_sizes) != len(unit_parts):
+            raise ValueError(f"a block of {len(unit_parts)} units got {len(unit_sizes)}")
+        place = np.empty(len(unit_parts), np.int64)  # of a unit among those of all parts
+        place[np.argsort(unit_parts, kind="stable")] = np.arange(len(unit_parts))
+        unit_offsets = np.r_[0, np.cumsum(unit_sizes)].astype(np.int64)
+        per_unit, ends = _ragged(unit_offsets, joined("ids"), place[word_units])
         word_offsets = ends[np.r_[0, np.cumsum(word_sizes)].astype(np.int64)]
-        ids, ends = _ragged(word_offsets, per_unit, codes)
+        chunks = [_ragged(word_offsets, per_unit, codes[i : i + _CHUNK])[0] for i in range(0, len(codes), _CHUNK)]
+        ids = np.concatenate([np.zeros(0, np.int32), *chunks])
+        ends = np.r_[0, np.cumsum(np.diff(word_offsets)[codes])]
         doc_offsets = ends[np.r_[0, np.cumsum(sizes)].astype(np.int64)]
-        lists = pa.ListArray.from_arrays(pa.array(doc_offsets.astype(np.int32)), pa.array(ids.astype(np.int32)))
+        lists = pa.ListArray.from_arrays(pa.array(doc_offsets.astype(np.int32)), pa.array(ids))
         return pa.table([get("keys").values, lists, get("checks").values], names=["doc_id", "ids", "check"])
 
-    return packed.drop("units").groupBy("block").cogroup(entries.groupBy("of")).applyInArrow(
+    return packed.drop("packets").groupBy("block").cogroup(answers.groupBy("of")).applyInArrow(
         run, "doc_id long, ids array<int>, check long"
     )
 

@@ -12,7 +12,7 @@ from ..sources.derived import table
 from . import (
     chat, collocations, decontamination, licenses, pieces, quality, records, repeats, simhash, spelling, surrogates, topk, toxicity,
 )
-from .settings import byte_tokenizer, piece_model, surrogate_key
+from .settings import bound_batches, byte_tokenizer, piece_model, surrogate_key
 from .training import fold
 
 
@@ -84,6 +84,7 @@ def op8_noisy_or_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The piece ids of every document, and whether they decode to its text."""
+    bound_batches(spark)
     vocabulary = pieces.Vocabulary.load(piece_model())
     encoded = pieces.encode(table(spark, sf_dir, "documents"), vocabulary)
     return pieces.decode(encoded, vocabulary).select(
